@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from threadloom import presets
 from threadloom.functions import keywords as K
 from threadloom.functions import text as T
+from threadloom.operators.binding import evaluate_once
 from threadloom.operators.ranking import top_n_per_group
 
 
@@ -22,12 +23,10 @@ def classify(
     single_pass: bool = False,
 ) -> DataFrame:
     """Add the best class of the cleaned text and its score; a projection, no shuffle."""
-    return (
-        df.withColumn("_clean", T.clean(text, single_pass))
-        .withColumn("_best", K.best_class(F.col("_clean"), classes, fallback, boundary))
-        .withColumn(label, F.col("_best.label"))
-        .withColumn(points, F.col("_best.score"))
-        .drop("_clean", "_best")
+    cleaned = df.withColumn("_clean", T.clean(text, single_pass))
+    best = K.best_class(F.col("_clean"), classes, fallback, boundary)
+    return evaluate_once(cleaned, _best=best).select(
+        *df.columns, F.col("_best.label").alias(label), F.col("_best.score").alias(points)
     )
 
 

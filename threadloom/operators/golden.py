@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from threadloom import presets
 from threadloom.functions import rules as R
 from threadloom.functions import text as T
+from threadloom.operators.binding import evaluate_once
 from threadloom.operators.ranking import best_per_group, top_n_per_group
 from threadloom.operators.sampling import draw_key, proportional_quotas
 
@@ -165,9 +166,12 @@ def relabel(
     ``overrides`` has ``(message_id, label, decision, note)`` with unique ids. The note of a
     changed row says what its class was before.
     """
-    ruled = golden.withColumn(
+    cleaned = golden.withColumn(
         "_clean", T.clean_keep_punctuation(F.coalesce("input_text", F.lit("")))
-    ).withColumn("_rule", R.apply_rules(F.col("input_text"), F.col("_clean"), rules, default))
+    )
+    ruled = evaluate_once(
+        cleaned, _rule=R.apply_rules(F.col("input_text"), F.col("_clean"), rules, default)
+    )
     if overrides is None:
         final = ruled.withColumn("_final", F.col("_rule"))
     else:

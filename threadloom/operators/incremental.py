@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def pending(source: DataFrame, done: DataFrame, row_id: str) -> DataFrame:
@@ -30,19 +29,3 @@ def resume(
         todo = source
     work(todo).write.mode("append").parquet(path)
     return spark.read.parquet(path)
-
-
-def unseen_of_batch(batch: DataFrame, history: DataFrame, row_id: str) -> DataFrame:
-    """Rows of a small new batch whose id is not in a long history.
-
-    The history is first cut down to the ids of the batch, so that it is filtered where it lies
-    rather than shuffled as a whole.
-    """
-    ids = batch.select(row_id).distinct()
-    seen = history.select(row_id).join(ids, row_id, "left_semi")
-    return batch.dropDuplicates([row_id]).join(seen.distinct(), row_id, "left_anti")
-
-
-def split_invalid(rows: DataFrame, parsed: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose reply could be parsed, and the rest for an error table."""
-    return rows.where(F.col(parsed).isNotNull()), rows.where(F.col(parsed).isNull())

@@ -6,6 +6,8 @@ in_response_to_tweet_id.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,30 +92,29 @@ def pair_longest(
 
 
 def last_before(
-    df: DataFrame, group: str, position: str, wanted: Column, out: str, chunk: int = 4096
+    df: DataFrame, group: str, position: str, wanted: Mapping[str, Column], chunk: int = 4096
 ) -> DataFrame:
-    """Add the latest earlier ``position`` of the group at which ``wanted`` was true.
+    """Add, per entry of ``wanted``, the latest earlier ``position`` at which its test was true.
 
     A running maximum in two levels: inside chunks of ``chunk`` positions, and over one row per
     chunk. A group of any length is thus handled in pieces. ``position`` is a whole number,
     unique in its group.
     """
-    marked = df.withColumn("_hit", F.when(wanted, F.col(position))).withColumn(
-        "_chunk", F.floor(F.col(position) / chunk)
-    )
+    marks = {name: F.when(test, F.col(position)) for name, test in wanted.items()}
+    marked = df.withColumn("_chunk", F.floor(F.col(position) / chunk))
     earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.max("_hit").over(
-        earlier.partitionBy(group, "_chunk").orderBy(position)
+    tops = marked.groupBy(group, "_chunk").agg(
+        *[F.max(mark).alias(f"_top_{name}") for name, mark in marks.items()]
     )
-    carried = (
-        marked.groupBy(group, "_chunk")
-        .agg(F.max("_hit").alias("_top"))
-        .withColumn("_carry", F.max("_top").over(earlier.partitionBy(group).orderBy("_chunk")))
-        .drop("_top")
+    by_chunk = earlier.partitionBy(group).orderBy("_chunk")
+    carried = tops.select(
+        group, "_chunk", *[F.max(f"_top_{n}").over(by_chunk).alias(f"_carry_{n}") for n in marks]
     )
+    inside = earlier.partitionBy(group, "_chunk").orderBy(position)
     return (
-        marked.withColumn("_inside", inside)
+        marked.withColumns({f"_in_{n}": F.max(mark).over(inside) for n, mark in marks.items()})
         .join(carried, [group, "_chunk"])
-        .withColumn(out, F.coalesce("_inside", "_carry"))
-        .drop("_hit", "_chunk", "_inside", "_carry")
+        .select(
+            *df.columns, *[F.coalesce(f"_in_{n}", f"_carry_{n}").alias(n) for n in marks]
+        )
     )

@@ -11,6 +11,7 @@ from threadloom import presets
 from threadloom.functions import keywords as K
 from threadloom.functions import replies as P
 from threadloom.functions import rules as R
+from threadloom.operators.binding import evaluate_once
 from threadloom.operators.classes import classify
 from threadloom.operators.similarity import gather_hits, top_k
 
@@ -43,14 +44,13 @@ def decide(
         F.col(label), F.col("_hits"), said, F.col("escalation_default"),
         F.col("escalation_note"), hard_classes,
     )
-    return (
-        with_policy(rows, taxonomy, label)
-        .withColumn("_hits", R.trigger_hits(F.col(text), triggers))
-        .withColumn("_verdict", verdict)
-        .withColumn("pred_decision", F.col("_verdict.decision"))
-        .withColumn("pred_reason", F.col("_verdict.reason"))
-        .withColumn("decision_level", F.col("_verdict.level"))
-        .drop("_hits", "_verdict", "escalation_default", "escalation_note")
+    known = with_policy(rows, taxonomy, label)
+    found = evaluate_once(known, _hits=R.trigger_hits(F.col(text), triggers))
+    return found.withColumn("_verdict", verdict).select(
+        *rows.columns,
+        F.col("_verdict.decision").alias("pred_decision"),
+        F.col("_verdict.reason").alias("pred_reason"),
+        F.col("_verdict.level").alias("decision_level"),
     )
 
 
@@ -65,13 +65,12 @@ def decide_simple(
     verdict = R.escalation_simple(
         F.col("_hits"), F.col("escalation_default"), F.col("escalation_note")
     )
-    return (
-        with_policy(rows, taxonomy, label)
-        .withColumn("_hits", R.trigger_hits(F.col(text), triggers, boundary=False))
-        .withColumn("_verdict", verdict)
-        .withColumn("pred_decision", F.col("_verdict.decision"))
-        .withColumn("pred_reason", F.col("_verdict.reason"))
-        .drop("_hits", "_verdict", "escalation_default", "escalation_note")
+    known = with_policy(rows, taxonomy, label)
+    found = evaluate_once(known, _hits=R.trigger_hits(F.col(text), triggers, boundary=False))
+    return found.withColumn("_verdict", verdict).select(
+        *rows.columns,
+        F.col("_verdict.decision").alias("pred_decision"),
+        F.col("_verdict.reason").alias("pred_reason"),
     )
 
 
@@ -127,13 +126,13 @@ def read_classifier_replies(
     rows: DataFrame, raw: str, labels: Sequence[str], default: str = presets.DEFAULT_CLASS
 ) -> DataFrame:
     """Add pred_intent, confidence and reasoning from the model replies in column ``raw``."""
-    return (
-        rows.withColumn("_parsed", P.parse_object(F.col(raw)))
-        .withColumn("_reply", P.classifier_reply(F.col(raw), F.col("_parsed"), labels, default))
-        .withColumn("pred_intent", F.col("_reply.intent"))
-        .withColumn("confidence", F.col("_reply.confidence"))
-        .withColumn("reasoning", F.col("_reply.reasoning"))
-        .drop("_parsed", "_reply")
+    parsed = rows.withColumn("_parsed", P.parse_object(F.col(raw)))
+    reply = P.classifier_reply(F.col(raw), F.col("_parsed"), labels, default)
+    return evaluate_once(parsed, _reply=reply).select(
+        *rows.columns,
+        F.col("_reply.intent").alias("pred_intent"),
+        F.col("_reply.confidence").alias("confidence"),
+        F.col("_reply.reasoning").alias("reasoning"),
     )
 
 

@@ -1,15 +1,12 @@
-"""Incremental triage with Structured Streaming."""
+"""Incremental triage with Structured Streaming: files in, triaged rows appended to a table."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.operators.incremental import unseen_of_batch
-
 
 def read_new_files(
     spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet"
@@ -18,37 +15,41 @@ def read_new_files(
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 
+def drop_seen(
+    stream: DataFrame, row_id: str, event_time: str | None = None, delay: str = "1 day"
+) -> DataFrame:
+    """Keep the first row of every id.
+
+    With an event time, ids are forgotten ``delay`` after the watermark and the state stays
+    bounded. Without one, every id is remembered.
+    """
+    if event_time is None:
+        return stream.dropDuplicates([row_id])
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([row_id])
+
+
 def run_available(
     stream: DataFrame,
     work: Callable[[DataFrame], DataFrame],
     out: str,
     checkpoint: str,
     row_id: str = "message_id",
+    event_time: str | None = None,
 ) -> DataFrame:
-    """Process all files that arrived since the last run, skip known ids, return the output table.
+    """Process all files that arrived since the last run and return the output table.
 
-    Each micro-batch replaces its own ``batch_id`` folder, so a batch that is run again after a
-    failure leaves no duplicates. The ids of earlier batches are compared without shuffling them.
+    The checkpoint remembers the files and ids already handled, and the file sink commits every
+    micro-batch once, so the job may be stopped or lose executors at any point and be run again.
     """
-    spark = stream.sparkSession
-    schema = work(stream).schema
-    stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        fresh = batch
-        if batch_id > 0:
-            history = session.read.schema(stored).parquet(out).where(F.col("batch_id") < batch_id)
-            fresh = unseen_of_batch(batch, history, row_id)
-        else:
-            fresh = batch.dropDuplicates([row_id])
-        work(fresh).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
+    fresh = drop_seen(stream, row_id, event_time)
     query = (
-        stream.writeStream.foreachBatch(write)
+        work(fresh)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stored).parquet(out)
+    return stream.sparkSession.read.schema(work(stream).schema).parquet(out)
