@@ -9,6 +9,7 @@ from threadloom import presets
 from threadloom.functions import text as T
 from threadloom.operators.ranking import first_rows, top_n_per_group
 from threadloom.operators.threads import inbound, outbound
+from threadloom.sources.tables import stage
 
 
 def activity(messages: DataFrame) -> DataFrame:
@@ -97,10 +98,11 @@ def profile_accounts(
 ) -> DataFrame:
     """The eligible accounts with all measures, rounded to three decimals.
 
-    ``prefix`` restricts the profile to the first rows by the numeric column ``prefix_order``.
+    ``prefix`` restricts the profile to the first rows by the numeric column ``prefix_order``,
+    which are staged, as five measures read them.
     """
     if prefix is not None:
-        messages = first_rows(messages, prefix_order, prefix, ["tweet_id"])
+        messages = stage(first_rows(messages, prefix_order, prefix, ["tweet_id"]), "prefix")
     accounts = eligible(activity(messages), max_inbound, min_outbound)
     # the other measures have one row per account, too: no message row is joined on its author
     richness = vocabulary_richness(answering_texts(messages), "author_id", "tweet_id")

@@ -53,12 +53,14 @@ def land_csv(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """CSV with header, every field quoted, quotes doubled."""
+    """CSV with header, every field quoted, quotes doubled, outer blanks kept."""
     (
         df.write.mode(mode)
         .option("header", True)
         .option("quoteAll", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
@@ -86,6 +88,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an expensive intermediate table once and go on from its copy.
+
+    Later plans read only the columns and rows they need, and lost executors do not bring the
+    whole derivation back.
+    """
+    path = work_folder(df.sparkSession, name)
+    write_table(df, path)
+    return read_table(df.sparkSession, path, df.schema)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 

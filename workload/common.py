@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from threadloom import presets
 from threadloom.functions import text as T
 from threadloom.operators.threads import last_before, normalise
+from threadloom.sources.tables import stage
 
 CLASSES = {
     "ORDER_DELIVERY_STATUS": ["thing", "onth", "eron", "ered", "hed "],
@@ -118,6 +119,11 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     return normalise(raw_messages(spark, sf))
 
 
+def stored_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The message table written out, for queries that read it several times."""
+    return stage(messages(spark, sf), "messages")
+
+
 # --- SQL fragments ---------------------------------------------------------------------------
 
 SQL_RAW_MESSAGES = """

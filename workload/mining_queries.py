@@ -88,7 +88,8 @@ profile AS (
 
 def account_profile(spark, sf):
     return P.profile_accounts(
-        W.messages(spark, sf), min_outbound=MIN_OUTBOUND, prefix=500_000, prefix_order="conv_id"
+        W.stored_messages(spark, sf), min_outbound=MIN_OUTBOUND, prefix=500_000,
+        prefix_order="conv_id",
     )
 
 
@@ -98,7 +99,7 @@ ACCOUNT_PROFILE = f"{_PROFILE_SQL} SELECT * FROM profile"
 def account_rank(spark, sf):
     names = spark.createDataFrame([("acct1", "Alpha"), ("acct2", "Beta")],
                                   "author_id string, brand_name string")
-    profile = P.profile_accounts(W.messages(spark, sf), min_outbound=MIN_OUTBOUND)
+    profile = P.profile_accounts(W.stored_messages(spark, sf), min_outbound=MIN_OUTBOUND)
     best = P.top_accounts(P.score_accounts(P.name_accounts(profile, names)))
     return best.select(
         "rank", "author_id", "brand_name", "outbound_count",
@@ -205,7 +206,7 @@ FROM means ORDER BY mean_weight DESC, term LIMIT {n}
 
 
 def tfidf_top_terms(spark, sf):
-    docs = W.table(spark, sf, "documents")
+    docs = W.documents(spark, sf)
     return X.top_terms(docs, "doc_id", F.col("text"), 200, W.STOP_WORDS, 5, 0.6, 5000).select(
         "rank", "term", "mean_weight"
     )
@@ -234,7 +235,7 @@ rest AS (SELECT tweet_id, text FROM classified WHERE intent = 'UNCLASSIFIED'),
 
 
 def tfidf_by_class(spark, sf):
-    docs = W.table(spark, sf, "documents")
+    docs = W.documents(spark, sf)
     return X.top_terms_by_class(
         docs, "doc_id", F.col("text"), "lang", 10, W.STOP_WORDS
     ).select("lang", "rank", "term", "mean_weight")
@@ -256,7 +257,9 @@ def text_top_k(spark, sf):
     docs = W.table(spark, sf, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), "text"
     )
-    vectors = X.text_vectors(docs, "id", F.col("text"), TEXT_FEATURES, W.STOP_WORDS)
+    vectors = IO.stage(
+        X.text_vectors(docs, "id", F.col("text"), TEXT_FEATURES, W.STOP_WORDS), "text-vectors"
+    )
     corpus = vectors.select(F.col("id").alias("idx"), "vec")
     queries = vectors.select(F.col("id").alias("query_id"), "vec")
     found = M.top_k(corpus, queries, 3)
