@@ -12,6 +12,11 @@ def make_session():
     return local_session(8)
 
 
+def pytest_configure(config):
+    # column expressions at module level need a running session
+    make_session()
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = make_session()

@@ -30,6 +30,9 @@ def score(text: Column, words: Sequence[str], boundary: bool = False) -> Column:
 
 
 def any_word(text: Column, words: Sequence[str], boundary: bool = False) -> Column:
+    """True if a listed word occurs. As substrings, words that contain another one add nothing."""
+    if not boundary:
+        words = [w for w in dict.fromkeys(words) if not any(v != w and v in w for v in words)]
     return reduce(or_, [_occurs(text, w, boundary) for w in words], F.lit(False))
 
 

@@ -81,3 +81,27 @@ def first_rows(df: DataFrame, order: str, n: int, ties: Sequence[str] = ()) -> D
         step = F.floor((F.col(order) - ends["low"]).cast("double") / width * 65536)
         df = _first_buckets(df.withColumn("_bucket", step), "_bucket", n).drop("_bucket")
     return df.orderBy(order, *ties).limit(n)
+
+
+def number_by_hash(
+    df: DataFrame, hash_column: str, ties: Sequence[str], place: str
+) -> DataFrame:
+    """Number all rows from 1 by their hex digest without sorting them in one place.
+
+    Rows are numbered inside the 65,536 digest prefixes; a prefix starts where the counts of the
+    lower prefixes end.
+    """
+    bucketed = df.withColumn("_bucket", F.substring(hash_column, 1, HASH_PREFIX))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = bucketed.groupBy("_bucket").count()
+    starts = counts.select(
+        "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start")
+    )
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(hash_column, *ties))
+    # one row per prefix, so at most 65,536
+    return (
+        bucketed.withColumn("_inside", inside)
+        .join(F.broadcast(starts), "_bucket")
+        .withColumn(place, F.col("_start") + F.col("_inside"))
+        .drop("_bucket", "_inside", "_start")
+    )

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom import presets
 from threadloom.operators.classes import value_counts
-from threadloom.operators.ranking import first_by_hash, top_n_per_group
+from threadloom.operators.ranking import first_by_hash, number_by_hash, top_n_per_group
 
 
 def draw_key(seed: int, row_id: Column) -> Column:
@@ -27,9 +27,9 @@ def sample(df: DataFrame, row_id: str, n: int, seed: int) -> DataFrame:
 
 
 def shuffle_order(df: DataFrame, row_id: str, seed: int, place: str = "place") -> DataFrame:
-    """Number the rows of a small table in random order."""
-    order = Window.orderBy(draw_key(seed, F.col(row_id)), F.col(row_id))
-    return df.withColumn(place, F.row_number().over(order))
+    """Number the rows from 1 in random order."""
+    keyed = df.withColumn("_draw", draw_key(seed, F.col(row_id)))
+    return number_by_hash(keyed, "_draw", [row_id], place).drop("_draw")
 
 
 def sample_per_stratum(

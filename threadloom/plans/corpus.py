@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom import presets
 from threadloom.functions import keywords as K
 from threadloom.operators.classes import classify, value_counts
-from threadloom.operators.ranking import first_by_hash
+from threadloom.operators.ranking import first_by_hash, number_by_hash
 from threadloom.operators.sampling import draw_key
 from threadloom.operators.threads import pair_longest
 
@@ -26,14 +26,13 @@ def build_corpus(
 ) -> DataFrame:
     """``(idx, tweet_id, customer_text, reply_text, intent_seed, created_at)`` of ``size`` threads.
 
-    ``idx`` numbers the drawn threads; their number is bounded by ``size``.
+    ``idx`` numbers the drawn threads in draw order.
     """
     pairs = pair_longest(messages, account, min_chars)
     keyed = pairs.withColumn("_draw", draw_key(seed, F.col("tweet_id")))
     drawn = first_by_hash(keyed, "_draw", ["tweet_id"], size)
-    numbered = drawn.withColumn(
-        "idx",
-        (F.row_number().over(Window.orderBy("_draw", "tweet_id")) - 1).cast("long"),
+    numbered = number_by_hash(drawn, "_draw", ["tweet_id"], "_place").withColumn(
+        "idx", F.col("_place") - 1
     )
     labelled = classify(numbered, F.col("text"), classes, label="intent_seed")
     return labelled.select(

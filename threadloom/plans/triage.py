@@ -93,17 +93,10 @@ def triage(
     return decide_simple(scored, taxonomy, "pred_intent", text, triggers)
 
 
-def retrieval_agent(
-    questions: DataFrame,
-    corpus: DataFrame,
-    classes: K.Classes,
-    taxonomy: DataFrame,
-    k: int = 5,
-    exclude_self: bool = True,
-    fallback: str = presets.DEFAULT_CLASS,
-    triggers: Sequence[str] = presets.ESCALATION_TRIGGERS_SIMPLE,
+def draft_from_hits(
+    questions: DataFrame, corpus: DataFrame, k: int = 5, exclude_self: bool = True
 ) -> DataFrame:
-    """Triage every question and draft the reply of its most similar past thread.
+    """Add ``retrieved_hits`` and, as the draft, the reply of the most similar past thread.
 
     ``questions`` has ``(message_id, input_text, vec, ...)``, ``corpus`` the corpus columns and
     ``vec``; ``exclude_self`` compares message_id with idx.
@@ -113,10 +106,24 @@ def retrieval_agent(
     present = [c for c in HIT_COLUMNS if c in corpus.columns]
     hits = gather_hits(ranked, corpus, present).withColumnRenamed("query_id", "message_id")
     joined = questions.drop("vec").join(hits, "message_id", "left")
-    answered = joined.withColumnRenamed("hits", "retrieved_hits").withColumn(
-        "draft_reply",
-        F.coalesce(F.get("retrieved_hits", F.lit(0))["reply_text"], F.lit(presets.DRAFT_FALLBACK)),
-    )
+    first_reply = F.get("hits", F.lit(0))["reply_text"]
+    return joined.withColumn(
+        "draft_reply", F.coalesce(first_reply, F.lit(presets.DRAFT_FALLBACK))
+    ).withColumnRenamed("hits", "retrieved_hits")
+
+
+def retrieval_agent(
+    questions: DataFrame,
+    corpus: DataFrame,
+    classes: K.Classes,
+    taxonomy: DataFrame,
+    k: int = 5,
+    exclude_self: bool = True,
+    fallback: str = presets.DEFAULT_CLASS,
+    triggers: Sequence[str] = presets.ESCALATION_TRIGGERS_SIMPLE,
+) -> DataFrame:
+    """Triage every question and draft its reply from the most similar past thread."""
+    answered = draft_from_hits(questions, corpus, k, exclude_self)
     return triage(answered, classes, taxonomy, "input_text", fallback, triggers).withColumn(
         "agent_type", F.lit("retrieval_only_baseline")
     )

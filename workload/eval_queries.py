@@ -15,6 +15,8 @@ from threadloom.operators.classes import classify, predict_majority
 from threadloom.operators.ranking import top_n_per_group
 from threadloom.operators.sampling import shuffle_order
 from threadloom.plans import reports as RP
+from threadloom.plans import triage as TR
+from threadloom.sources import tables as IO
 from workload import common as W
 from workload import policy_queries as PQ
 
@@ -74,12 +76,17 @@ report AS (
 """
 
 
+def _stored_rows(spark, sf):
+    """The classified rows without texts, written once for reports that read them repeatedly."""
+    return IO.stage(_rows(spark, sf).drop("input_text"), "results")
+
+
 def _rounded(df, *names):
     return df.withColumns({n: F.round(n, 6) for n in names})
 
 
 def confusion(spark, sf):
-    return E.confusion(E.cells(E.scored_rows(_rows(spark, sf))))
+    return E.confusion(E.cells(E.scored_rows(_stored_rows(spark, sf))))
 
 
 CONFUSION = f"""
@@ -93,7 +100,7 @@ LEFT JOIN scored s ON s.gold_intent = g.label AND s.pred_intent = p.label GROUP
 
 def confusion_matrix(spark, sf):
     names = list(W.CLASSES_SHORT)
-    return E.confusion_matrix(E.cells(E.scored_rows(_rows(spark, sf))), names)
+    return E.confusion_matrix(E.cells(E.scored_rows(_stored_rows(spark, sf))), names)
 
 
 CONFUSION_MATRIX = f"""
@@ -183,7 +190,7 @@ FROM wrong
 
 
 def baseline_metrics(spark, sf):
-    rows = _rows(spark, sf)
+    rows = _stored_rows(spark, sf)
     majority = predict_majority(rows.drop("pred_intent", "pred_decision"), "gold_intent")
     out = E.baseline_metrics(majority, "majority").unionByName(
         E.baseline_metrics(rows, "keywords")
@@ -216,7 +223,7 @@ UNION ALL SELECT * FROM {_sql_baseline('keywords', 'scored')}
 
 
 def labelled_or_all(spark, sf):
-    rows = _rows(spark, sf)
+    rows = _stored_rows(spark, sf)
     many = E.labelled_or_all(rows, F.col("quality").isNotNull())
     few = E.labelled_or_all(rows, F.col("quality").isNotNull(), minimum=10**9)
     counted = F.count(F.lit(1)).alias("n")
@@ -298,7 +305,7 @@ FROM worded WHERE length(d) > 0
 
 
 def mean_groundedness(spark, sf):
-    results = PQ._agent_results(spark, sf)
+    results = TR.draft_from_hits(*PQ.questions_and_corpus(spark, sf), 3)
     scored = G.groundedness(
         results, F.col("input_text"), G.joined_replies(F.col("retrieved_hits"))
     )
@@ -320,10 +327,9 @@ FROM worded WHERE length(d) > 0
 
 
 def evaluation_report(spark, sf):
-    results = PQ._agent_results(spark, sf).withColumn("message_id", F.col("message_id"))
     gold = _rows(spark, sf).select("message_id", "gold_intent", "gold_decision")
-    report = RP.evaluation_report(results.join(gold, "message_id"))
-    return _rounded(report, "value")
+    results = PQ.agent_results(spark, sf).join(gold, "message_id")
+    return _rounded(RP.evaluation_report(IO.stage(results, "results")), "value")
 
 
 EVALUATION_REPORT = f"""
@@ -566,7 +572,7 @@ def blind_order(spark, sf):
 
 
 BLIND_ORDER = """
-SELECT item_id, row_number() OVER (ORDER BY md5('42|' || item_id), item_id)::INTEGER AS place
+SELECT item_id, row_number() OVER (ORDER BY md5('42|' || item_id), item_id) AS place
 FROM benchmark
 """
 

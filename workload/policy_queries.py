@@ -306,7 +306,7 @@ def _drawn_from(spark, sf):
 
 
 def golden_batches(spark, sf):
-    return G.build(_drawn_from(spark, sf), W.POLICY)
+    return G.build(IO.stage(_drawn_from(spark, sf), "labelled"), W.POLICY)
 
 
 def _sql_batches() -> str:
@@ -382,13 +382,13 @@ NEAR_DUPLICATES = (
 )
 
 
-def _agent_results(spark, sf):
-    """Documents with an embedding, triaged, with the drafts of their nearest neighbours."""
+def questions_and_corpus(spark, sf):
+    """Documents with an embedding, as questions and, with made-up replies, as past threads."""
     docs = W.documents(spark, sf).select("doc_id", "text", "source")
     vectors = W.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec")
     )
-    rows = docs.join(vectors, "doc_id")
+    rows = IO.stage(docs.join(vectors, "doc_id"), "embedded")
     questions = rows.select(
         F.col("doc_id").alias("message_id"), F.col("text").alias("input_text"), "source", "vec"
     )
@@ -396,9 +396,12 @@ def _agent_results(spark, sf):
         F.col("doc_id").alias("idx"), F.col("text").alias("customer_text"),
         F.concat(F.lit("Answer: "), F.col("text")).alias("reply_text"), "vec",
     )
+    return questions, corpus
+
+
+def agent_results(spark, sf):
     return TR.retrieval_agent(
-        questions, IO.stage(corpus, "corpus"), W.CLASSES, W.taxonomy(spark), 3,
-        triggers=W.TRIGGERS,
+        *questions_and_corpus(spark, sf), W.CLASSES, W.taxonomy(spark), 3, triggers=W.TRIGGERS
     )
 
 
@@ -425,7 +428,7 @@ agent AS (
 
 
 def retrieval_agent(spark, sf):
-    return _agent_results(spark, sf).select(
+    return agent_results(spark, sf).select(
         "message_id", "pred_intent", "confidence", "pred_decision", "pred_reason", "draft_reply",
         F.array_join(F.transform("retrieved_hits", lambda h: h["idx"].cast("string")), " ")
         .alias("hits"),
@@ -441,7 +444,7 @@ FROM agent LEFT JOIN lists ON query_id = doc_id
 
 
 def blind_sheet(spark, sf):
-    results = _agent_results(spark, sf).withColumn("message_id", F.col("message_id").cast("string"))
+    results = agent_results(spark, sf).withColumn("message_id", F.col("message_id").cast("string"))
     judge = W.table(spark, sf, "labels").select(
         F.col("doc_id").cast("string").alias("message_id"),
         F.when(F.col("toxic") == 0, F.col("quality") * 9).alias("total"),
@@ -455,8 +458,7 @@ valid AS (
   SELECT doc_id::VARCHAR AS message_id FROM labels WHERE toxic = 0
   ORDER BY message_id LIMIT 20),
 placed AS (
-  SELECT message_id, row_number() OVER (ORDER BY md5('42|' || message_id), message_id)::INTEGER
-    AS place FROM valid),
+  SELECT message_id, row_number() OVER (ORDER BY md5('42|' || message_id), message_id) AS place FROM valid),
 refs AS (
   SELECT query_id, string_agg('Answer: ' || text, chr(10) || '---' || chr(10) ORDER BY rank) AS refs
   FROM hits JOIN documents ON doc_id = idx GROUP BY 1)
@@ -475,7 +477,7 @@ LABELS = [("ORDER_DELIVERY_STATUS", "Where is it?"), ("ACCOUNT_ACCESS", "Cannot
 
 
 def prompts(spark, sf):
-    rows = _agent_results(spark, sf)
+    rows = agent_results(spark, sf)
     text, hits = F.col("input_text"), F.col("retrieved_hits")
     made = rows.select(
         "message_id",
