@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from threadloom import presets
 from threadloom.functions import text as T
 from threadloom.operators.grounding import joined_replies
+from threadloom.operators.incremental import pending
 from threadloom.operators.sampling import shuffle_order
 
 OVERALL = "overall"
@@ -26,6 +27,16 @@ def valid_judgements(judge: DataFrame) -> DataFrame:
     return judge.where(F.coalesce("total", F.lit(-1)) >= 0)
 
 
+def to_judge(results: DataFrame, judged: DataFrame | None = None, n: int = 50) -> DataFrame:
+    """The first ``n`` results by id that have a draft, less those judged before."""
+    first = first_rows_with_draft(results, n)
+    return first if judged is None else pending(first, judged, "message_id")
+
+
+def first_rows_with_draft(results: DataFrame, n: int) -> DataFrame:
+    return results.where(F.length("draft_reply") > 0).orderBy("message_id").limit(n)
+
+
 def judge_means(judge: DataFrame) -> DataFrame:
     return valid_judgements(judge).agg(
         F.count(F.lit(1)).alias("n"),

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LANES = 256
-SMALL_LIMIT = 1000
+# up to this many rows per task may meet in the task of a plain sorted limit
+SMALL_LIMIT = 50
 HASH_PREFIX = 4
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.operators import agreement as A
 from threadloom.operators import evaluation as E
 from threadloom.operators import grounding as G
 
@@ -42,3 +43,20 @@ def evaluation_report(results: DataFrame) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def agreement_report(judge: DataFrame, human: DataFrame) -> DataFrame:
+    """Per dimension, pooled and for the binned total: kappa, band, raw agreement and means."""
+    scores = A.long_scores(judge, human)
+    by_dimension = A.kappa(scores, overall=True).join(A.rater_means(scores), "dimension", "left")
+    binned = A.binned_kappa(A.valid_judgements(judge), human)
+    return by_dimension.unionByName(binned, allowMissingColumns=True)
+
+
+def baseline_report(predictions: dict[str, DataFrame]) -> DataFrame:
+    """One row of metrics per named classifier."""
+    rows = [E.baseline_metrics(frame, name) for name, frame in predictions.items()]
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row)
+    return out

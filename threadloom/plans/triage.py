@@ -143,6 +143,19 @@ def read_classifier_replies(
     )
 
 
+def triage_replies(
+    rows: DataFrame,
+    raw: str,
+    taxonomy: DataFrame,
+    labels: Sequence[str],
+    default: str = presets.DEFAULT_CLASS,
+    triggers: Sequence[str] = presets.ESCALATION_TRIGGERS,
+) -> DataFrame:
+    """Class, confidence and decision from a classifier's replies: the step between two prompts."""
+    read = read_classifier_replies(rows, raw, labels, default)
+    return decide(read, taxonomy, reasoning="reasoning", triggers=triggers)
+
+
 def read_judge_replies(rows: DataFrame, raw: str) -> tuple[DataFrame, DataFrame]:
     """Score columns of the readable judge replies, and the unreadable rows."""
     parsed = rows.withColumn("_parsed", P.parse_object(F.col(raw)))

@@ -192,9 +192,7 @@ FROM wrong
 def baseline_metrics(spark, sf):
     rows = _stored_rows(spark, sf)
     majority = predict_majority(rows.drop("pred_intent", "pred_decision"), "gold_intent")
-    out = E.baseline_metrics(majority, "majority").unionByName(
-        E.baseline_metrics(rows, "keywords")
-    )
+    out = RP.baseline_report({"majority": majority, "keywords": rows})
     return _rounded(
         out, "intent_accuracy", "intent_macro_f1", "intent_weighted_f1", "esc_precision",
         "esc_recall",
@@ -488,6 +486,40 @@ binned AS (
 """
 
 
+def agreement_report(spark, sf):
+    report = RP.agreement_report(
+        IO.stage(_judge(spark, sf), "judge"), IO.stage(_human(spark, sf), "human")
+    )
+    return _rounded(report, "kappa", "raw_agreement", "judge_mean", "human_mean")
+
+
+AGREEMENT_REPORT = f"""
+WITH {_SQL_RATERS}
+SELECT k.*, m.judge_mean, m.human_mean FROM ({KAPPA_BY_DIMENSION}) k
+LEFT JOIN (SELECT dimension, round(avg(a), 6) AS judge_mean, round(avg(b), 6) AS human_mean
+  FROM long GROUP BY dimension) m USING (dimension)
+UNION ALL SELECT *, NULL, NULL FROM ({KAPPA_BINNED})
+"""
+
+
+def to_judge(spark, sf):
+    results = W.table(spark, sf, "conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("message_id"),
+        F.when(F.col("role") != "system", F.col("text")).otherwise(F.lit("")).alias("draft_reply"),
+    )
+    judged = W.table(spark, sf, "conversations").where(F.col("role") == "user").select(
+        F.concat_ws("-", "conv_id", "turn").alias("message_id")
+    )
+    return A.to_judge(results, judged)
+
+
+TO_JUDGE = """
+SELECT message_id, draft_reply FROM (
+  SELECT conv_id || '-' || turn AS message_id, text AS draft_reply, role FROM conversations
+  WHERE role <> 'system' ORDER BY message_id LIMIT 50) WHERE role <> 'user'
+"""
+
+
 def judge_means(spark, sf):
     row = A.judge_means(_judge(spark, sf))
     return _rounded(row, *[c for c in row.columns if c != "n"])
@@ -594,6 +626,8 @@ QUERIES = {
     "evaluation_report": (evaluation_report, EVALUATION_REPORT),
     "kappa_by_dimension": (kappa_by_dimension, KAPPA_BY_DIMENSION),
     "kappa_binned": (kappa_binned, KAPPA_BINNED),
+    "agreement_report": (agreement_report, AGREEMENT_REPORT),
+    "to_judge": (to_judge, TO_JUDGE),
     "judge_means": (judge_means, JUDGE_MEANS),
     "rater_means": (rater_means, RATER_MEANS),
     "disagreements": (disagreements, DISAGREEMENTS),

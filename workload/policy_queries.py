@@ -574,6 +574,51 @@ FROM parsed
 """
 
 
+def triage_replies(spark, sf):
+    """Documents with a made-up classifier reply: read it, then decide."""
+    docs = W.documents(spark, sf)
+    raw = F.when(F.col("lang") == "de", F.lit("cannot say")).otherwise(
+        F.concat(
+            F.lit('Reply: {"intent": "'),
+            F.when(F.col("lang") == "fr", F.lit("PRODUCT_COMPLAINT")).otherwise(F.col("source")),
+            F.lit('", "confidence": 0.75, "reasoning": "'),
+            F.when(F.col("source") == "src5", F.lit("a Human Agent is due")).otherwise(F.lit("ok")),
+            F.lit('"}'),
+        )
+    )
+    rows = docs.select("doc_id", F.col("text").alias("input_text"), raw.alias("raw"))
+    done = TR.triage_replies(
+        rows, "raw", W.taxonomy(spark), list(W.POLICY), "ORDER_DELIVERY_STATUS",
+        ("worthless", "idiot"),
+    )
+    return done.select(
+        "doc_id", "pred_intent", "confidence", "reasoning", "pred_decision", "decision_level"
+    )
+
+
+TRIAGE_REPLIES = f"""
+WITH {W.sql_policy()},
+replies AS (
+  SELECT doc_id, text, lang = 'de' AS broken,
+    CASE lang WHEN 'fr' THEN 'PRODUCT_COMPLAINT' ELSE source END AS said,
+    CASE source WHEN 'src5' THEN 'a Human Agent is due' ELSE 'ok' END AS why FROM documents),
+chosen AS (
+  SELECT doc_id, CASE WHEN NOT broken AND said IN (SELECT id FROM policy) THEN said
+      ELSE 'ORDER_DELIVERY_STATUS' END AS pred_intent,
+    CASE WHEN broken THEN 0.3 ELSE 0.75 END::DOUBLE AS confidence,
+    CASE WHEN broken THEN 'cannot say' ELSE why END AS reasoning,
+    {W.sql_hits('lower(text)', ('worthless', 'idiot'), True)} AS hits
+  FROM replies),
+levels AS (
+  SELECT *, CASE WHEN pred_intent = 'ACCOUNT_ACCESS' THEN 1 WHEN length(hits) > 0 THEN 2
+    WHEN contains(lower(reasoning), 'human agent') THEN 3 ELSE 4 END::INTEGER AS decision_level
+  FROM chosen)
+SELECT doc_id, pred_intent, confidence, reasoning, decision_level,
+  CASE WHEN decision_level < 4 THEN 'escalate' ELSE escalation_default END AS pred_decision
+FROM levels JOIN policy ON id = pred_intent
+"""
+
+
 def judge_replies(spark, sf):
     props = F.regexp_extract("props", r"\d+", 0)
     raw = F.when(F.col("event_type") == "error", F.lit("unreadable")).otherwise(
@@ -705,6 +750,7 @@ QUERIES = {
     "blind_sheet": (blind_sheet, BLIND_SHEET),
     "prompts": (prompts, PROMPTS),
     "classifier_replies": (classifier_replies, CLASSIFIER_REPLIES),
+    "triage_replies": (triage_replies, TRIAGE_REPLIES),
     "judge_replies": (judge_replies, JUDGE_REPLIES),
     "incremental_append": (incremental_append, _TRIAGED_TURNS),
     "stream_triage": (stream_triage, _TRIAGED_TURNS),
