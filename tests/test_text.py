@@ -74,6 +74,18 @@ def test_score_counts_each_listed_word_once_as_substring(spark):
     assert tuple(row) == (1, 2)
 
 
+def test_score_of_nested_and_repeated_words(spark):
+    words = ["ship", "shipping", "shipping fee", "fee", "fee", "coffee", "late"]
+    texts = ["ship", "shipping", "shipping fee", "coffee", "fe", "late ship coffee", "", "shippin"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r[0] for r in df.select(K.score(X, words)).collect()]
+    assert got == [sum(w in t for w in words) for t in texts]
+
+
+def test_score_of_no_words(spark):
+    assert one(spark, "x", K.score(X, []))[0] == 0
+
+
 def test_apostrophe_never_survives_cleaning(spark):
     assert one(spark, "i don't want it", K.score(T.clean(X), ["don't want"]))[0] == 0
 

@@ -25,14 +25,37 @@ def _occurs(text: Column, word: str, boundary: bool) -> Column:
 
 
 def score(text: Column, words: Sequence[str], boundary: bool = False) -> Column:
-    """Number of listed words found in the text; every word counts at most once per listing."""
-    return reduce(add, [_occurs(text, w, boundary).cast("int") for w in words], F.lit(0))
+    """Number of listed words found in the text; every word counts at most once per listing.
+
+    A word that contains another listed one is searched only where the shorter one occurs.
+    """
+    if boundary:
+        return reduce(add, [_occurs(text, w, True).cast("int") for w in words], F.lit(0))
+    longer: dict[str, list[str]] = {w: [] for w in words if w not in _redundant(words)}
+    equal = {w: 0 for w in longer}
+    for word in words:
+        if word in longer:
+            equal[word] += 1
+        else:
+            longer[next(w for w in longer if w in word)].append(word)
+    terms = []
+    for word, dependent in longer.items():
+        found = reduce(
+            add, [_occurs(text, w, False).cast("int") for w in dependent], F.lit(equal[word])
+        )
+        terms.append(F.when(_occurs(text, word, False), found).otherwise(F.lit(0)))
+    return reduce(add, terms, F.lit(0))
+
+
+def _redundant(words: Sequence[str]) -> set[str]:
+    """Words that contain another word of the list."""
+    return {w for w in words if any(v != w and v in w for v in words)}
 
 
 def any_word(text: Column, words: Sequence[str], boundary: bool = False) -> Column:
     """True if a listed word occurs. As substrings, words that contain another one add nothing."""
     if not boundary:
-        words = [w for w in dict.fromkeys(words) if not any(v != w and v in w for v in words)]
+        words = [w for w in dict.fromkeys(words) if w not in _redundant(words)]
     return reduce(or_, [_occurs(text, w, boundary) for w in words], F.lit(False))
 
 

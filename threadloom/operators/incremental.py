@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -12,10 +13,14 @@ def pending(source: DataFrame, done: DataFrame, row_id: str) -> DataFrame:
     return source.join(done.select(row_id), row_id, "left_anti")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(jvm_path)
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The output so far, or None before the first run."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def resume(
@@ -23,9 +28,7 @@ def resume(
 ) -> DataFrame:
     """Run ``work`` on the rows that the Parquet output at ``path`` lacks, append, return all."""
     spark = source.sparkSession
-    if _exists(spark, path):
-        todo = pending(source, spark.read.parquet(path), row_id)
-    else:
-        todo = source
+    done = _stored(spark, path)
+    todo = source if done is None else pending(source, done, row_id)
     work(todo).write.mode("append").parquet(path)
     return spark.read.parquet(path)

@@ -80,7 +80,9 @@ def first_rows(df: DataFrame, order: str, n: int, ties: Sequence[str] = ()) -> D
         ends = df.agg(F.struct(F.min(order).alias("low"), F.max(order).alias("high"))).scalar()
         width = (ends["high"] - ends["low"]).cast("double") + 1.0
         step = F.floor((F.col(order) - ends["low"]).cast("double") / width * 65536)
-        df = _first_buckets(df.withColumn("_bucket", step), "_bucket", n).drop("_bucket")
+        # rows without a value come first, as in the final order
+        bucketed = df.withColumn("_bucket", F.coalesce(step, F.lit(-1)))
+        df = _first_buckets(bucketed, "_bucket", n).drop("_bucket")
     return df.orderBy(order, *ties).limit(n)
 
 

@@ -11,6 +11,7 @@ from threadloom.operators.classes import classify, value_counts
 from threadloom.operators.ranking import first_by_hash, number_by_hash
 from threadloom.operators.sampling import draw_key
 from threadloom.operators.threads import pair_longest
+from threadloom.sources.tables import stage
 
 CORPUS_SIZE = 40_000
 SEED = 42
@@ -26,9 +27,10 @@ def build_corpus(
 ) -> DataFrame:
     """``(idx, tweet_id, customer_text, reply_text, intent_seed, created_at)`` of ``size`` threads.
 
-    ``idx`` numbers the drawn threads in draw order.
+    ``idx`` numbers the drawn threads in draw order. The pairs are staged, as the draw reads their
+    ids twice; the texts of the other pairs are not read again.
     """
-    pairs = pair_longest(messages, account, min_chars)
+    pairs = stage(pair_longest(messages, account, min_chars), "pairs")
     keyed = pairs.withColumn("_draw", draw_key(seed, F.col("tweet_id")))
     drawn = first_by_hash(keyed, "_draw", ["tweet_id"], size)
     numbered = number_by_hash(drawn, "_draw", ["tweet_id"], "_place").withColumn(

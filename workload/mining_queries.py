@@ -323,9 +323,9 @@ TOP_K_EXCLUDE_SELF = f"WITH {_OTHERS} SELECT query_id, rank, idx, score FROM ran
 
 
 def top_k_grid(spark, sf):
-    return M.top_k(
-        *_vectors(spark, sf), 5, broadcast_bytes=0, query_block=200, corpus_block=200
-    ).select("query_id", "rank", "idx", "score")
+    return M.top_k(*_vectors(spark, sf), 5, broadcast_bytes=0).select(
+        "query_id", "rank", "idx", "score"
+    )
 
 
 def nearest_label(spark, sf):
