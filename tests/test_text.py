@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import keywords as K
 from threadloom.functions import text as T
+from threadloom.operators import classes as C
 
 
 def one(spark, value, *columns):
@@ -124,3 +125,27 @@ def test_bigrams_of_short_texts(spark, raw, expected):
 def test_fill(spark):
     row = one(spark, "v", T.fill("a {p} b {q}", p=X, q=F.lit(2)), T.fill("{p}{p}", p=X))
     assert tuple(row) == ("a v b 2", "vv")
+
+
+@pytest.mark.parametrize("automaton", [False, True])
+def test_classify_with_many_keywords(spark, automaton):
+    classes = {
+        "A": [f"w{i} " for i in range(70)] + ["w1"], "B": ["x", "xy", "x"],
+        "C": [f"v{i}" for i in range(90)], "D": [],
+    }
+    texts = ["w1 w2 w69 end", "xy", "v1 v22 v89", "x v1", "", None, "W5 V6 V7", "zzz"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [(r.x, r.intent, r.best_score) for r in
+           C.classify(df, X, classes, automaton=automaton).collect()]
+    for text, label, score in got:
+        cleaned = (text or "").lower()
+        points = {c: sum(w in cleaned for w in words) for c, words in classes.items()}
+        best = max(points, key=points.get)
+        assert (label, score) == (best if points[best] else "UNCLASSIFIED", points[best])
+
+
+def test_steps_keep_every_keyword():
+    classes = {"A": list("abcde"), "B": [], "C": list("fg")}
+    steps = K.in_steps(classes, 3)
+    assert [sum(len(w) for _, w in s) for s in steps] == [3, 3, 1]
+    assert [x for s in steps for _, w in s for x in w] == list("abcdefg")

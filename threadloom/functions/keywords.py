@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from operator import add, or_
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,25 +71,79 @@ def score_columns(text: Column, classes: Classes, boundary: bool = False) -> lis
     return [score(text, words, boundary).alias(f"score_{c}") for c, words in classes.items()]
 
 
+def pick_class(scores: Mapping[str, Column], fallback: str = presets.UNCLASSIFIED) -> Column:
+    """``struct(score, label)`` of the best score; ties go to the class declared first.
+
+    If no score is above 0, the label is ``fallback``.
+    """
+    ranked = [(F.lit(0), 1, fallback)]
+    ranked += [(points, -turn, label) for turn, (label, points) in enumerate(scores.items())]
+    return F.array_max(
+        F.array(
+            *[
+                F.struct(
+                    points.alias("score"), F.lit(turn).alias("turn"), F.lit(label).alias("label")
+                )
+                for points, turn, label in ranked
+            ]
+        )
+    )
+
+
 def best_class(
     text: Column, classes: Classes, fallback: str = presets.UNCLASSIFIED, boundary: bool = False
 ) -> Column:
-    """``struct(score, label)`` of the best class; ties go to the class declared first.
-
-    A text without any keyword gets ``fallback`` and score 0.
+    """:func:`pick_class` of the keyword scores, as one expression."""
+    scores = {label: score(text, words, boundary) for label, words in classes.items()}
+    return pick_class(scores, fallback)
+
+
+def in_steps(classes: Classes, searches: int) -> list[list[tuple[str, list[str]]]]:
+    """The keyword table cut into steps of at most ``searches`` words."""
+    steps, free = [[]], searches
+    for label, words in classes.items():
+        rest = list(words)
+        while rest:
+            if not free:
+                steps.append([])
+                free = searches
+            part, rest = rest[:free], rest[free:]
+            steps[-1].append((label, part))
+            free -= len(part)
+    return steps
+
+
+def automaton_scores(text: Column, classes: Classes) -> Column:
+    """``array<int>`` of the class scores, found in one pass over the text.
+
+    Arrow batches go to an Aho-Corasick automaton (package ``ahocorasick`` on the executors), whose
+    cost does not grow with the number of keywords.
     """
-    ranked = [F.struct(F.lit(0).alias("score"), F.lit(1).alias("turn"),
-                       F.lit(fallback).alias("label"))]
-    for position, (label, words) in enumerate(classes.items()):
-        points = score(text, words, boundary)
-        ranked.append(
-            F.struct(
-                points.alias("score"),
-                F.lit(-position).alias("turn"),
-                F.lit(label).alias("label"),
-            )
-        )
-    return F.array_max(F.array(*ranked))
+    table = [list(words) for words in classes.values()]
+
+    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+        import pandas
+
+        classes_of: dict[str, list[int]] = {}
+        for number, words in enumerate(table):
+            for word in words:
+                classes_of.setdefault(word, []).append(number)
+        automaton = ahocorasick.Automaton()
+        for word in classes_of:
+            automaton.add_word(word, word)
+        automaton.make_automaton()
+        for batch in batches:
+            rows = []
+            for value in batch:
+                points = [0] * len(table)
+                for word in {found for _, found in automaton.iter(value)}:
+                    for number in classes_of[word]:
+                        points[number] += 1
+                rows.append(points)
+            yield pandas.Series(rows, dtype=object)
+
+    return F.pandas_udf(scan, "array<int>")(text)
 
 
 def confidence(points: Column) -> Column:

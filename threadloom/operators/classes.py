@@ -12,6 +12,27 @@ from threadloom.operators.binding import evaluate_once
 from threadloom.operators.ranking import top_n_per_group
 
 
+# with more searches in one generated method, the JVM no longer compiles it
+SEARCHES_PER_STEP = 64
+
+
+def class_scores(
+    df: DataFrame, text: Column, classes: K.Classes, boundary: bool = False
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Add the keyword scores in steps of bounded size; return the table and the score columns."""
+    sums: dict[str, Column] = {label: F.lit(0) for label in classes}
+    for number, step in enumerate(K.in_steps(classes, SEARCHES_PER_STEP)):
+        if not step:
+            continue
+        names = {f"_s{number}_{i}": part for i, part in enumerate(step)}
+        df = evaluate_once(
+            df, **{name: K.score(text, words, boundary) for name, (_, words) in names.items()}
+        )
+        for name, (label, _) in names.items():
+            sums[label] = sums[label] + F.col(name)
+    return df, sums
+
+
 def classify(
     df: DataFrame,
     text: Column,
@@ -21,11 +42,24 @@ def classify(
     points: str = "best_score",
     boundary: bool = False,
     single_pass: bool = False,
+    automaton: bool = False,
 ) -> DataFrame:
-    """Add the best class of the cleaned text and its score; a projection, no shuffle."""
-    cleaned = df.withColumn("_clean", T.clean(text, single_pass))
-    best = K.best_class(F.col("_clean"), classes, fallback, boundary)
-    return evaluate_once(cleaned, _best=best).select(
+    """Add the best class of the cleaned text and its score; a projection, no shuffle.
+
+    ``automaton`` finds all keywords of a large table in one pass over the text in Arrow batches.
+    On a million short texts and 160 keywords it took a fifth of the time of the searches inside
+    the JVM; it needs the package ``ahocorasick`` on every executor, and whole substrings only.
+    """
+    if automaton and boundary:
+        raise ValueError("the automaton finds substrings only")
+    scored = df.withColumn("_clean", T.clean(text, single_pass))
+    if automaton:
+        scored = scored.withColumn("_all", K.automaton_scores(F.col("_clean"), classes))
+        scores = {name: F.get("_all", F.lit(i)) for i, name in enumerate(classes)}
+    else:
+        scored, scores = class_scores(scored, F.col("_clean"), classes, boundary)
+    best = evaluate_once(scored, _best=K.pick_class(scores, fallback))
+    return best.select(
         *df.columns, F.col("_best.label").alias(label), F.col("_best.score").alias(points)
     )
 

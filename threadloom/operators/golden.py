@@ -155,6 +155,27 @@ def build(
     )
 
 
+# with more rules in one generated method, the JVM no longer compiles it
+RULES_PER_STEP = 4
+
+
+def apply_rules(rows: DataFrame, rules: Sequence[presets.Rule]) -> DataFrame:
+    """Add ``_rule``, the outcome for ``input_text`` and its ``_clean`` form, NULL if no rule fires.
+
+    Foreign-language text and mere continuations are decided before any rule. A step tries a few
+    rules on the rows that are still undecided.
+    """
+    outcome = R.out_of_scope(F.col("input_text"), F.col("_clean"))
+    rows = evaluate_once(rows, _rule0=outcome)
+    for start in range(0, len(rules), RULES_PER_STEP):
+        step = rules[start:start + RULES_PER_STEP]
+        number = start // RULES_PER_STEP
+        outcome = R.first_rule(F.col(f"_rule{number}"), F.col("_clean"), step)
+        rows = evaluate_once(rows, **{f"_rule{number + 1}": outcome}).drop(f"_rule{number}")
+    last = next(c for c in rows.columns if c.startswith("_rule"))
+    return rows.withColumnRenamed(last, "_rule")
+
+
 def relabel(
     golden: DataFrame,
     overrides: DataFrame | None = None,
@@ -169,9 +190,7 @@ def relabel(
     cleaned = golden.withColumn(
         "_clean", T.clean_keep_punctuation(F.coalesce("input_text", F.lit("")))
     )
-    ruled = evaluate_once(
-        cleaned, _rule=R.apply_rules(F.col("input_text"), F.col("_clean"), rules, default)
-    )
+    ruled = apply_rules(cleaned, rules).withColumn("_rule", R.or_default(F.col("_rule"), default))
     if overrides is None:
         final = ruled.withColumn("_final", F.col("_rule"))
     else:

@@ -45,7 +45,8 @@ def decide(
         F.col("escalation_note"), hard_classes,
     )
     known = with_policy(rows, taxonomy, label)
-    found = evaluate_once(known, _hits=R.trigger_hits(F.col(text), triggers))
+    lowered = known.withColumn("_lower", F.lower(F.col(text)))
+    found = evaluate_once(lowered, _hits=R.trigger_hits(F.col("_lower"), triggers))
     return found.withColumn("_verdict", verdict).select(
         *rows.columns,
         F.col("_verdict.decision").alias("pred_decision"),
@@ -66,7 +67,8 @@ def decide_simple(
         F.col("_hits"), F.col("escalation_default"), F.col("escalation_note")
     )
     known = with_policy(rows, taxonomy, label)
-    found = evaluate_once(known, _hits=R.trigger_hits(F.col(text), triggers, boundary=False))
+    lowered = known.withColumn("_lower", F.lower(F.col(text)))
+    found = evaluate_once(lowered, _hits=R.trigger_hits(F.col("_lower"), triggers, False))
     return found.withColumn("_verdict", verdict).select(
         *rows.columns,
         F.col("_verdict.decision").alias("pred_decision"),

@@ -192,12 +192,12 @@ FROM found
 
 
 def trigger_words(spark, sf):
-    hits = R.trigger_hits(F.col("text"))
-    return W.documents(spark, sf).select(
+    text = F.col("lowered")
+    return W.documents(spark, sf).withColumn("lowered", F.lower("text")).select(
         "doc_id",
-        F.array_join(hits, ",").alias("preset_hits"),
-        F.array_join(R.trigger_hits(F.col("text"), W.TRIGGERS), ",").alias("hits"),
-        F.array_join(R.trigger_hits(F.col("text"), W.TRIGGERS, False), ",").alias("inside"),
+        F.array_join(R.trigger_hits(text), ",").alias("preset_hits"),
+        F.array_join(R.trigger_hits(text, W.TRIGGERS), ",").alias("hits"),
+        F.array_join(R.trigger_hits(text, W.TRIGGERS, False), ",").alias("inside"),
     )
 
 
