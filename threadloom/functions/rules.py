@@ -38,24 +38,24 @@ def _outcome(label: str, decision: str, note: str) -> Column:
     )
 
 
-def out_of_scope(raw: Column, cleaned: Column) -> Column:
-    """``struct(label, decision, note)`` of foreign-language text and mere continuations."""
+def apply_rules(
+    raw: Column,
+    cleaned: Column,
+    rules: Sequence[presets.Rule] = presets.RELABEL_RULES,
+    default: tuple[str, str, str] = presets.DEFAULT_OUTCOME,
+) -> Column:
+    """``struct(label, decision, note)`` of the first rule that fires.
+
+    Foreign-language text and mere continuations are out of scope before any rule is tried.
+    ``cleaned`` is :func:`threadloom.functions.text.clean_keep_punctuation` of ``raw``.
+    """
     foreign = ~T.is_mostly_ascii(raw, presets.ASCII_SHARE_RELABEL)
-    return F.when(foreign, _outcome(*presets.FOREIGN_OUTCOME)).when(
+    chain = F.when(foreign, _outcome(*presets.FOREIGN_OUTCOME)).when(
         is_continuation(cleaned), _outcome(*presets.CONTINUATION_OUTCOME)
     )
-
-
-def first_rule(known: Column, cleaned: Column, rules: Sequence[presets.Rule]) -> Column:
-    """The ``known`` outcome if there is one, else that of the first rule that fires, else NULL."""
-    chain = F.when(known.isNotNull(), known)
     for rule in rules:
         chain = chain.when(_fires(cleaned, rule), _outcome(rule.label, rule.decision, rule.note))
-    return chain
-
-
-def or_default(known: Column, default: tuple[str, str, str]) -> Column:
-    return F.coalesce(known, _outcome(*default))
+    return chain.otherwise(_outcome(*default))
 
 
 def trigger_hits(
