@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -100,13 +99,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """A fresh folder that every executor can reach, below the session's own working folder."""
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
-    Only a local session without that setting may use a temporary folder of this machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="threadloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+def session_folder(spark: SparkSession) -> str:
+    """Where a session keeps its staged tables: below ``spark.checkpoint.dir``, or, where that is
+    not set, below the warehouse, which a cluster shares as well."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/threadloom-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every staged table of the session. Call it when no result that reads one is needed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
