@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import packing
+from pyspark.sql import functions as F
+
+from threadloom.llm import mixing, near_dup, packing
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -18,6 +20,17 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.best_fit_packing(_table(spark, sf, "documents"), TOKENIZER)
 
 
+def op3_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf, "documents"))
+
+
+def op6_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
+    "op3_minhash_dedup": (op3_minhash_dedup, near_dup.SQL),
+    "op6_mix_sources": (op6_mix_sources, mixing.SQL),
 }
