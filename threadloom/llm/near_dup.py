@@ -245,7 +245,8 @@ def links(docs: DataFrame, family: DataFrame, width: int, percent: int, tile: in
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     )
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(
-        members.select("id", "component", "block", "blocks"), "id"
+        # a merge join at every size: few members would be broadcast only while the input is small
+        members.select("id", "component", "block", "blocks").hint("merge"), "id"
     )
     sets = arrow_map(
         texts.select("text", "id", "component", "block", "blocks"), _sets,
