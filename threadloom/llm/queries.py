@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from threadloom.llm import mixing, near_dup, packing
+from threadloom.llm import language, mixing, near_dup, packing, repeats
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -20,6 +20,10 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.best_fit_packing(_table(spark, sf, "documents"), TOKENIZER)
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language.language_id(_table(spark, sf, "documents"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf, "documents"))
 
@@ -29,8 +33,14 @@ def op6_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
+def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf, "documents")).drop("kept_text")
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
+    "op2_language_id": (op2_language_id, None),
     "op3_minhash_dedup": (op3_minhash_dedup, near_dup.SQL),
     "op6_mix_sources": (op6_mix_sources, mixing.SQL),
+    "op10_substring_dedup": (op10_substring_dedup, repeats.SQL),
 }
