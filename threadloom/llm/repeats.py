@@ -11,7 +11,7 @@ repeat if its part occurs at a second place.
 * At the last level every sequence of words has a first occurrence (smallest id, then smallest
   start); all other windows with it are removed, and the words under them.
 
-Places go to the bucket of their hash as packed arrays and come back as rows per document. A task
+Places go to the bucket of their hash as packed arrays and come back to that of their document. A task
 forwards one place per hash and run of texts: a passage that a third of all documents contain is
 known as repeated before it is sent, so its bucket gets one entry per run, not per occurrence.
 
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm.shared import arrow_map, buckets_for, identified, packed, table_of, unpacked
-from threadloom.llm.words import Words, chunks, strings, window_hashes
+from threadloom.llm.words import Words, chunks, mix, strings, window_hashes
 from threadloom.sources.tables import stage
 
 WINDOW, START = 20, 10
@@ -47,10 +47,10 @@ _PACKED_SQL = (
     "kind int, bucket int, hash binary, doc binary, pos binary, many binary, words binary, sha binary"
 )
 _FOUND = pa.schema(
-    [("kind", pa.int32()), ("doc_id", pa.int64()), ("pos", pa.binary()), ("n_words", pa.int64()),
-     ("sha", pa.string())]
+    [("kind", pa.int32()), ("bucket", pa.int32()), ("doc", pa.binary()), ("pos", pa.binary()),
+     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("sha", pa.string())]
 )
-_FOUND_SQL = "kind int, doc_id bigint, pos binary, n_words bigint, sha string"
+_FOUND_SQL = "kind int, bucket int, doc binary, pos binary, doc_id bigint, n_words bigint, sha string"
 
 
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -143,7 +143,7 @@ def _level(batches: Iterator, window: int, length: int, count: int) -> Iterator:
             starts, part, _ = parts(words, hashes, window, length // 2)
             alive = np.zeros(len(words) + 1, bool)
             for i in range(len(texts)):
-                places = unpacked(found[texts.first + i].values, np.int32)
+                places = np.frombuffer(found[texts.first + i].as_py(), np.int32)
                 alive[words.first[i] + places] = True
             starts = starts[alive[part]]
             if length < window:
@@ -170,18 +170,18 @@ def _first_or_known(words: Words, mine, at, hashes, run: int, count: int) -> Ite
     yield from _exchange(hashes[send], docs[send], pos[send], np.zeros(len(send), np.uint8), count)
 
 
-def _by_document(docs: np.ndarray, pos: np.ndarray) -> dict[str, list]:
+def _by_document(table: pa.Table) -> pa.Table:
+    """The places of each document of one bucket, as one row per document."""
+    docs, pos = unpacked(table.column("doc"), np.int64), unpacked(table.column("pos"), np.int32)
     order = np.argsort(docs, kind="stable")
-    docs, pos = docs[order], np.ascontiguousarray(pos[order], np.int32)
-    at = np.flatnonzero(np.diff(docs, prepend=docs[0] - 1)) if len(docs) else np.zeros(0, np.int64)
+    docs, pos = docs[order], np.ascontiguousarray(pos[order])
+    at = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
     ends = np.append(at[1:], len(docs))
-    return {
-        "kind": [KNOWN] * len(at), "doc_id": docs[at].tolist(),
-        "pos": [pos[a:b].tobytes() for a, b in zip(at, ends)],
-    }
+    places = pa.array([pos[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())
+    return pa.table({"doc_id": docs[at], "places": places})
 
 
-def _settle(table: pa.Table, last: bool) -> pa.Table:
+def _settle(table: pa.Table, last: bool, count: int) -> pa.Table:
     """One bucket: repeated places (or, at the last level, all but the first place of a hash)."""
     kind = table.column("kind").to_numpy()
     out = []
@@ -215,19 +215,27 @@ def _settle(table: pa.Table, last: bool) -> pa.Table:
         use |= (np.bincount(group, weights=many)[group] > 0) & ~many
     else:
         use = first
-    rows = _by_document(np.concatenate([*docs, d[use]]), np.concatenate([*pos, p[use]]))
-    if rows["kind"]:
-        out.append(table_of(rows, _FOUND))
+    docs, pos = np.concatenate([*docs, d[use]]), np.concatenate([*pos, p[use]])
+    bucket = (mix(docs.view(np.uint64)) >> np.uint64(32)) % np.uint64(count)
+    rows = packed(bucket.astype(np.int64), count, {"doc": docs, "pos": pos})
+    if rows["bucket"]:
+        out.append(table_of({"kind": [KNOWN] * len(rows["bucket"])} | rows, _FOUND))
     return pa.Table.from_batches(out, schema=_FOUND)
 
 
-def _settled(places: DataFrame, last: bool) -> DataFrame:
+def _settled(places: DataFrame, last: bool, count: int) -> DataFrame:
     def settle(table: pa.Table) -> pa.Table:
-        return _settle(table, last)
+        return _settle(table, last, count)
 
     return stage(places.groupBy("bucket").applyInArrow(settle, _FOUND_SQL), "level")
 
 
+def _places(found: DataFrame) -> DataFrame:
+    """``(doc_id, places)``: they come packed by bucket of their document."""
+    sent = found.where(F.col("kind") == KNOWN).select("bucket", "doc", "pos")
+    return sent.groupBy("bucket").applyInArrow(_by_document, "doc_id bigint, places binary")
+
+
 def _cut(batches: Iterator, window: int) -> Iterator:
     schema = pa.schema([("doc_id", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string()), ("kept_sha", pa.string())])
     for batch in batches:
@@ -236,7 +244,7 @@ def _cut(batches: Iterator, window: int) -> Iterator:
             words = Words(texts)
             edge = np.zeros(len(words) + window + 1, np.int64)
             for i in range(len(texts)):
-                places = np.unique(unpacked(removed[texts.first + i].values, np.int32)) + words.first[i]
+                places = np.unique(np.frombuffer(removed[texts.first + i].as_py(), np.int32)) + words.first[i]
                 edge[places] += 1
                 edge[places + window] -= 1
             keep = np.cumsum(edge)[: len(words)] == 0
@@ -264,19 +272,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, start: int = START) ->
     docs = identified(docs).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
     count = buckets_for(docs, "text")
     given = {"window": window, "count": count}
-    found = _settled(arrow_map(docs, _first_level, _PACKED_SQL, length=start, **given), False)
+    found = _settled(arrow_map(docs, _first_level, _PACKED_SQL, length=start, **given), False, count)
     described = found.where(F.col("kind") == DOCUMENTS).select("doc_id", "n_words", "sha")
     length, texts = start, docs
     while length < window:
         length *= 2
-        places = found.where(F.col("kind") == KNOWN).groupBy("doc_id").agg(F.collect_list("pos").alias("found"))
-        texts = stage(texts.join(places, "doc_id").select("doc_id", "text", "found"), "candidates")
+        texts = stage(texts.join(_places(found).hint("merge"), "doc_id").select("doc_id", "text", "places"), "candidates")
         places = arrow_map(texts, _level, _PACKED_SQL, length=length, **given)
-        found = _settled(places, length == window)
+        found = _settled(places, length == window, count)
         texts = texts.select("doc_id", "text")
-    removed = found.groupBy("doc_id").agg(F.collect_list("pos").alias("removed"))
     cut = arrow_map(
-        texts.join(removed, "doc_id").select("doc_id", "text", "removed"), _cut,
+        texts.join(_places(found).hint("merge"), "doc_id").select("doc_id", "text", "places"), _cut,
         "doc_id bigint, n_removed bigint, kept_text string, kept_sha string", window=window,
     )
     return described.join(cut, "doc_id", "left").select(
