@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from threadloom.llm import language, mixing, near_dup, packing, repeats
+from threadloom.llm import (
+    exact_search, language, mixing, near_dup, packing, repeats, suffix_tree, tree_search,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -33,6 +35,18 @@ def op6_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
+def op7_suffix_tree_score(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_tree.score_texts(_table(spark, sf, "documents"))
+
+
+def op8_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_search.exact_top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op9_vantage_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return tree_search.nearest(_table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf, "documents")).drop("kept_text")
 
@@ -42,5 +56,8 @@ QUERIES = {
     "op2_language_id": (op2_language_id, None),
     "op3_minhash_dedup": (op3_minhash_dedup, near_dup.SQL),
     "op6_mix_sources": (op6_mix_sources, mixing.SQL),
+    "op7_suffix_tree_score": (op7_suffix_tree_score, None),
+    "op8_exact_top_k": (op8_exact_top_k, exact_search.SQL),
+    "op9_vantage_tree": (op9_vantage_tree, None),
     "op10_substring_dedup": (op10_substring_dedup, repeats.SQL),
 }
