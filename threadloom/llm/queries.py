@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm import (
-    exact_search, language, mixing, near_dup, packing, repeats, suffix_tree, tree_search,
+    exact_search, language, mixing, near_dup, packing, repeats, suffix_tree, tree_search, url_filter,
+    warc,
 )
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +31,14 @@ def op3_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf, "pages"))
+
+
+def op5_warc_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.audit_pages(_table(spark, sf, "pages"))
+
+
 def op6_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
@@ -55,6 +64,8 @@ QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_language_id": (op2_language_id, None),
     "op3_minhash_dedup": (op3_minhash_dedup, near_dup.SQL),
+    "op4_url_filter": (op4_url_filter, None),
+    "op5_warc_audit": (op5_warc_audit, warc.SQL),
     "op6_mix_sources": (op6_mix_sources, mixing.SQL),
     "op7_suffix_tree_score": (op7_suffix_tree_score, None),
     "op8_exact_top_k": (op8_exact_top_k, exact_search.SQL),
