@@ -97,4 +97,4 @@ def test_no_queries_no_vectors(spark):
     assert exact_search.exact_top_k(empty, F.col("vec_id") >= 0).count() == 0
     assert tree_search.nearest(empty, F.col("vec_id") >= 0).count() == 0
     assert tiles.usable(empty).count() == 0
-    assert exact_search.exact_top_k(table(spark, vectors(30)), F.col("vec_id") < 0).count() == 0
+    assert exact_search.exact_top_k(table(spark, vectors(70)), F.col("vec_id") < 0).count() == 0

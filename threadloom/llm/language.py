@@ -171,15 +171,19 @@ def fit(docs: DataFrame, sample: int = SAMPLE, window: int = WINDOW, steps: int
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("doc_id").isNotNull()
         & ~held_out(F.col("doc_id"))
     )
-    draw = F.xxhash64(F.col("doc_id"), F.lit(3))
-    chosen = (
-        usable.select("lang", "doc_id", "text", draw.alias("_draw"))
-        .withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_draw", "doc_id", "text")))
-        .where(F.col("_n") <= sample)
-    )
+    # pieces of a window's length are all that moves, and of each language only as many as the
+    # hash lets through: about the sample, however large the language
     last = F.greatest(F.lit(1), F.length("text") - window)
     at = F.pmod(F.xxhash64("doc_id", F.lit(4)), last).cast("int") + 1
-    rows = chosen.select("lang", "_draw", F.expr("text").substr(at, F.lit(window)).alias("piece")).collect()
+    pieces = usable.select(
+        "lang", F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(3)), 33).alias("_draw"),
+        F.expr("text").substr(at, F.lit(window)).alias("piece"),
+    )
+    counts = usable.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_all"))
+    through = F.col("_draw") * F.col("_all") < F.lit(1.2 * sample * 2**31)
+    drawn = pieces.join(counts, F.col("lang") == F.col("_lang")).where(through)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_draw", "piece"))
+    rows = drawn.withColumn("_n", place).where(F.col("_n") <= sample).select("lang", "_draw", "piece").collect()
     rows.sort(key=lambda r: (r["_draw"], r["lang"], r["piece"]))
     if not rows:
         return None

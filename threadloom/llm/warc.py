@@ -112,10 +112,10 @@ def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFram
 
 
 def flipped(text: Column, page_id: Column) -> Column:
-    """The record with its last byte but four changed where the id's hash ends in 00: the damage
-    that the registered query has to find."""
+    """The record with its first byte changed where the id's hash ends in 00: the damage that the
+    registered query has to find. Lengths, and so the other records' offsets, stay."""
     hit = F.substring(F.md5(page_id.cast("string")), -2, 2) == "00"
-    return F.when(hit, F.concat(F.expr("left(record, length(record) - 5)"), F.lit("~\r\n\r\n"))).otherwise(text)
+    return F.when(hit, F.overlay(text, F.lit("X"), 1, 1)).otherwise(text)
 
 
 def audit_pages(pages: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -138,7 +138,7 @@ WITH records AS (
 hashed AS (
   SELECT page_id, strlen(record) AS length, sha256(record) AS digest,
     CASE WHEN md5(page_id::VARCHAR) LIKE '%00'
-      THEN sha256(left(record, length(record) - 5) || '~' || chr(13) || chr(10) || chr(13) || chr(10))
+      THEN sha256('X' || substr(record, 2))
       ELSE sha256(record) END AS other_digest,
     ('0x' || substr(md5(page_id::VARCHAR), 1, 8))::BIGINT
       % (SELECT ceil(sum(strlen(record)) / {FILE_BYTES}.0)::BIGINT FROM records) AS file
