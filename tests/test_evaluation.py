@@ -52,10 +52,12 @@ def test_class_report_counts_labels_of_either_side(spark):
     row = E.summary(frame).first()
     assert row.macro_f1 == pytest.approx((6 / 7 + 0.8 + 0 + 0) / 4)
     assert [r.label for r in E.worst_classes(E.class_report(frame)).collect()] == ["c", "x", "b"]
-    grid = {(r.gold, r.pred): r.n for r in E.confusion(frame).collect()}
-    assert len(grid) == 16 and grid["a", "b"] == 1 and grid["x", "a"] == 0
+    seen = {(r.gold, r.pred): r.n for r in E.confusion(frame).collect()}
+    assert seen == cells
+    grid = {(r.gold, r.pred): r.n for r in E.confusion(frame, ["a", "b", "x"]).collect()}
+    assert len(grid) == 10 and grid["a", "b"] == 1 and grid["x", "a"] == 0 and grid["c", "x"] == 1
     wide = {r.gold: r for r in E.confusion_matrix(frame, ["a", "b"]).collect()}
-    assert (wide["a"].a, wide["a"].b, wide["x"].a) == (3, 1, 0)
+    assert (wide["a"].a, wide["a"].b, wide["a"].other, wide["c"].other) == (3, 1, 0, 1)
 
 
 def test_summary_of_nothing(spark):

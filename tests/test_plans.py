@@ -62,3 +62,10 @@ def test_class_counts_shuffle_counts_only(spark):
     rows = C.classify(W.table(spark, SF, "conversations"), F.col("text"), W.CLASSES)
     text = plan(C.value_counts(rows, "intent"))
     assert "partial_count(1)" in text
+
+
+@pytest.mark.parametrize("name", ["triage_threads", "escalation_policy", "escalation_simple"])
+def test_no_message_is_shuffled_by_its_class(spark, name):
+    result = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(pred_intent" not in plan and "hashpartitioning(intent" not in plan

@@ -53,6 +53,15 @@ def test_first_rows(hot, n):
         assert got == sorted(rows)[:n]
 
 
+def test_first_rows_of_any_type(spark):
+    wide = spark.createDataFrame([(-9 * 10**18,), (9 * 10**18,), (None,), *[(i,) for i in range(300)]], "k long")
+    assert [r.k for r in R.first_rows(wide, "k", 60).collect()] == [None, -9 * 10**18, *range(58)]
+    text = wide.select(F.col("k").cast("string").alias("k"))
+    want = sorted((r.k for r in text.collect()), key=lambda x: (x is not None, x))
+    assert [r.k for r in R.first_rows(text, "k", 60).collect()] == want[:60]
+    assert R.first_rows(wide, "k", 0).count() == 0
+
+
 def test_first_rows_of_equal_and_empty(spark):
     same = spark.range(3000).select("id", F.lit(7).alias("k"))
     assert [r.id for r in R.first_rows(same, "k", 1200, ["id"]).collect()] == list(range(1200))

@@ -127,8 +127,7 @@ def test_fill(spark):
     assert tuple(row) == ("a v b 2", "vv")
 
 
-@pytest.mark.parametrize("automaton", [False, True])
-def test_classify_with_many_keywords(spark, automaton):
+def test_classify_with_many_keywords(spark):
     classes = {
         "A": [f"w{i} " for i in range(70)] + ["w1"], "B": ["x", "xy", "x"],
         "C": [f"v{i}" for i in range(90)], "D": [],
@@ -136,7 +135,7 @@ def test_classify_with_many_keywords(spark, automaton):
     texts = ["w1 w2 w69 end", "xy", "v1 v22 v89", "x v1", "", None, "W5 V6 V7", "zzz"]
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     got = [(r.x, r.intent, r.best_score) for r in
-           C.classify(df, X, classes, automaton=automaton).collect()]
+           C.classify(df, X, classes).collect()]
     for text, label, score in got:
         cleaned = (text or "").lower()
         points = {c: sum(w in cleaned for w in words) for c, words in classes.items()}

@@ -41,25 +41,25 @@ def cells(rows: DataFrame, gold: str = "gold_intent", pred: str = "pred_intent")
     )
 
 
-def confusion(pairs: DataFrame) -> DataFrame:
-    """``(gold, pred, n)`` for every pair of labels seen on either side, zeros included.
+def confusion(pairs: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
+    """``(gold, pred, n)`` of the pairs that occur, and zeros for the other pairs of ``labels``.
 
-    The label set is one sorted array, and the grid is that array exploded twice.
+    Labels outside the list keep the pairs that they occur in.
     """
-    seen = pairs.select(F.explode(F.array("gold", "pred")).alias("label")).distinct()
-    labels = seen.agg(F.sort_array(F.collect_list("label")).alias("labels"))
-    grid = labels.select("labels", F.explode("labels").alias("gold")).select(
-        "gold", F.explode("labels").alias("pred")
-    )
-    return grid.join(pairs, ["gold", "pred"], "left").select(
-        "gold", "pred", F.coalesce("n", F.lit(0)).alias("n")
-    )
+    if not labels:
+        return pairs.select("gold", "pred", "n")
+    spark = pairs.sparkSession
+    zeros = spark.createDataFrame([(a, b, 0) for a in labels for b in labels], "gold string, pred string, n long")
+    return pairs.select("gold", "pred", "n").unionByName(zeros).groupBy("gold", "pred").agg(F.sum("n").alias("n"))
 
 
 def confusion_matrix(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """One row per gold label and one column per predicted label."""
-    wide = confusion(pairs).groupBy("gold").pivot("pred", list(labels)).agg(F.sum("n"))
-    return wide.na.fill(0)
+    """One row per gold label, listed or seen, one column per listed label, and ``other`` for
+    predictions outside the list, so that a row adds up to all rows of its label."""
+    listed = [F.sum(F.when(F.col("pred") == name, F.col("n")).otherwise(0)).alias(name) for name in labels]
+    inside = F.coalesce(F.col("pred").isin(list(labels)), F.lit(False))
+    other = F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("other")
+    return confusion(pairs, labels).groupBy("gold").agg(*listed, other)
 
 
 def class_counts(pairs: DataFrame) -> DataFrame:

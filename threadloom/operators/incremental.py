@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def pending(source: DataFrame, done: DataFrame, row_id: str) -> DataFrame:
-    """Rows of ``source`` whose id is not in ``done``."""
-    return source.join(done.select(row_id), row_id, "left_anti")
+    """Rows of ``source`` whose id is not in ``done``; one of each id, if ids repeat."""
+    return source.join(done.select(row_id), row_id, "left_anti").dropDuplicates([row_id])
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -29,6 +29,6 @@ def resume(
     """Run ``work`` on the rows that the Parquet output at ``path`` lacks, append, return all."""
     spark = source.sparkSession
     done = _stored(spark, path)
-    todo = source if done is None else pending(source, done, row_id)
+    todo = source.dropDuplicates([row_id]) if done is None else pending(source, done, row_id)
     work(todo).write.mode("append").parquet(path)
     return spark.read.parquet(path)

@@ -71,13 +71,13 @@ def answering_texts(messages: DataFrame) -> DataFrame:
 
 
 def vocabulary_richness(
-    texts: DataFrame, account: str, row_id: str, first: int = presets.VOCABULARY_TEXTS
+    texts: DataFrame, account: str, row_id: str, first: int | None = None
 ) -> DataFrame:
-    """Type-token ratio over the first texts of every account.
+    """Type-token ratio over all texts of every account, or the ``first`` of each.
 
     Words are counted per (account, word) first, so no task holds all words of an account.
     """
-    kept = top_n_per_group(texts, [account], [F.col(row_id)], first)
+    kept = texts if first is None else top_n_per_group(texts, [account], [F.col(row_id)], first)
     words = kept.select(
         account, F.explode_outer(T.split_words(F.lower("text"))).alias("word")
     )

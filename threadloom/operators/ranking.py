@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.sources.tables import stage
+
 LANES = 256
 # up to this many rows per task may meet in the task of a plain sorted limit
 SMALL_LIMIT = 50
@@ -71,19 +73,36 @@ def first_by_hash(df: DataFrame, hash_column: str, ties: Sequence[str], n: int)
 
 
 def first_rows(df: DataFrame, order: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
-    """The ``n`` rows with the smallest value of the numeric column ``order``, in order.
+    """The ``n`` rows with the smallest value of column ``order``, in order; nulls come first.
 
-    Spark tables have no file order, so a prefix scan names its order. For a large ``n`` a
-    histogram of 65,536 equal steps narrows the rows before the final sort.
+    Spark tables have no file order, so a prefix scan names its order; with ``ties`` it should be
+    total. Any type that sorts will do. The order columns alone are sorted into ranges and counted
+    per range; the n-th of them is the cut, so no task gathers the n rows. Rows equal to the cut
+    beyond the n-th go in a last step that sees only them.
     """
-    if n > SMALL_LIMIT:
-        ends = df.agg(F.struct(F.min(order).alias("low"), F.max(order).alias("high"))).scalar()
-        width = (ends["high"] - ends["low"]).cast("double") + 1.0
-        step = F.floor((F.col(order) - ends["low"]).cast("double") / width * 65536)
-        # rows without a value come first, as in the final order
-        bucketed = df.withColumn("_bucket", F.coalesce(step, F.lit(-1)))
-        df = _first_buckets(bucketed, "_bucket", n).drop("_bucket")
-    return df.orderBy(order, *ties).limit(n)
+    keys = [order, *ties]
+    ranges = stage(
+        df.select(*keys).repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()), "keys"
+    )
+    counts = ranges.groupBy("_range").count().orderBy("_range").collect()  # one row per task
+    before = 0
+    for row in counts:
+        if before + row["count"] >= n:
+            break
+        before += row["count"]
+    else:
+        return df.orderBy(*keys)
+    if n <= 0:
+        return df.limit(0)
+    inside = ranges.where(F.col("_range") == row["_range"])
+    numbered = inside.withColumn("_n", F.row_number().over(Window.partitionBy("_range").orderBy(*keys)))
+    cut = numbered.where(F.col("_n") == n - before).select(*keys).first()
+    types = df.select(*keys).schema
+    edge = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, types)])
+    key = F.struct(*[F.col(k) for k in keys])
+    lower = df.where(key < edge)
+    same = df.where(key == edge).limit(n - lower.count())
+    return lower.unionByName(same).orderBy(*keys)
 
 
 def number_by_hash(

@@ -13,7 +13,6 @@ from threadloom.operators.sampling import draw_key
 from threadloom.operators.threads import pair_longest
 from threadloom.sources.tables import stage
 
-CORPUS_SIZE = 40_000
 SEED = 42
 
 
@@ -21,18 +20,19 @@ def build_corpus(
     messages: DataFrame,
     classes: K.Classes,
     account: str | None = None,
-    size: int = CORPUS_SIZE,
+    size: int | None = None,
     seed: int = SEED,
     min_chars: int = presets.MIN_SIDE_CHARS,
 ) -> DataFrame:
-    """``(idx, tweet_id, customer_text, reply_text, intent_seed, created_at)`` of ``size`` threads.
+    """``(idx, tweet_id, customer_text, reply_text, intent_seed, created_at)`` of all threads, or of
+    ``size`` of them drawn by hash.
 
     ``idx`` numbers the drawn threads in draw order. The pairs are staged, as the draw reads their
     ids twice; the texts of the other pairs are not read again.
     """
     pairs = stage(pair_longest(messages, account, min_chars), "pairs")
     keyed = pairs.withColumn("_draw", draw_key(seed, F.col("tweet_id")))
-    drawn = first_by_hash(keyed, "_draw", ["tweet_id"], size)
+    drawn = keyed if size is None else first_by_hash(keyed, "_draw", ["tweet_id"], size)
     numbered = number_by_hash(drawn, "_draw", ["tweet_id"], "_place").withColumn(
         "idx", F.col("_place") - 1
     )

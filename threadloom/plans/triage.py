@@ -15,18 +15,22 @@ from threadloom.operators.binding import evaluate_once
 from threadloom.operators.classes import classify
 from threadloom.operators.similarity import gather_hits, top_k
 
+MOST_CLASSES = 10_000
 HIT_COLUMNS = ["tweet_id", "customer_text", "reply_text", "intent_seed", "created_at"]
 
 
 def with_policy(rows: DataFrame, taxonomy: DataFrame, label: str) -> DataFrame:
     """Add ``escalation_default`` and ``escalation_note`` of the row's class.
 
-    The join is left to Spark, which broadcasts a taxonomy below its size threshold.
+    A taxonomy of at most ``MOST_CLASSES`` classes (checked) is broadcast, so that no message is
+    shuffled by its class, of which a few hold most messages.
     """
+    if taxonomy.limit(MOST_CLASSES + 1).count() > MOST_CLASSES:
+        raise ValueError(f"a taxonomy has at most {MOST_CLASSES} classes")
     policy = taxonomy.select(
         F.col("id").alias(label), "escalation_default", "escalation_note"
     )
-    return rows.join(policy, label, "left")
+    return rows.join(F.broadcast(policy), label, "left")
 
 
 def decide(

@@ -86,15 +86,15 @@ def _rounded(df, *names):
 
 
 def confusion(spark, sf):
-    return E.confusion(E.cells(E.scored_rows(_stored_rows(spark, sf))))
+    return E.confusion(E.cells(E.scored_rows(_stored_rows(spark, sf))), list(W.CLASSES_SHORT))
 
 
 CONFUSION = f"""
 WITH {_SQL_ROWS},
-labels_seen AS (SELECT gold_intent AS label FROM scored UNION SELECT pred_intent FROM scored)
-SELECT g.label AS gold, p.label AS pred, count(s.message_id) AS n
-FROM labels_seen g CROSS JOIN labels_seen p
-LEFT JOIN scored s ON s.gold_intent = g.label AND s.pred_intent = p.label GROUP BY ALL
+listed AS (SELECT unnest({W.sql_list(W.CLASSES_SHORT)}) AS label),
+zeros AS (SELECT g.label AS gold, p.label AS pred, 0 AS n FROM listed g CROSS JOIN listed p),
+seen AS (SELECT gold_intent AS gold, pred_intent AS pred, count(*) AS n FROM scored GROUP BY ALL)
+SELECT gold, pred, sum(n)::BIGINT AS n FROM (SELECT * FROM zeros UNION ALL SELECT * FROM seen) GROUP BY ALL
 """
 
 
@@ -105,9 +105,11 @@ def confusion_matrix(spark, sf):
 
 CONFUSION_MATRIX = f"""
 WITH {_SQL_ROWS},
-labels_seen AS (SELECT gold_intent AS label FROM scored UNION SELECT pred_intent FROM scored)
+labels_seen AS (SELECT gold_intent AS label FROM scored UNION SELECT unnest({W.sql_list(W.CLASSES_SHORT)}))
 SELECT label AS gold, {', '.join(
-    f"count(*) FILTER (WHERE pred_intent = '{c}') AS {c}" for c in W.CLASSES_SHORT)}
+    f"count(*) FILTER (WHERE pred_intent = '{c}') AS {c}" for c in W.CLASSES_SHORT)},
+  count(*) FILTER (WHERE message_id IS NOT NULL
+    AND NOT coalesce(list_contains({W.sql_list(W.CLASSES_SHORT)}, pred_intent), false)) AS other
 FROM labels_seen LEFT JOIN scored ON gold_intent = label GROUP BY label
 """
 

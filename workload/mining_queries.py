@@ -74,7 +74,7 @@ answers AS (
   WHERE m.inbound AND m.text IS NOT NULL),
 words AS (
   SELECT author_id, unnest(regexp_split_to_array(lower(text), '{T.SPACE}+')) AS word
-  FROM answers WHERE place <= 1000),
+  FROM answers),
 ttr AS (
   SELECT author_id, count(DISTINCT word) / greatest(count(*), 1) AS ratio FROM words
   WHERE word <> '' GROUP BY 1),
@@ -87,10 +87,7 @@ profile AS (
 
 
 def account_profile(spark, sf):
-    return P.profile_accounts(
-        W.stored_messages(spark, sf), min_outbound=MIN_OUTBOUND, prefix=500_000,
-        prefix_order="conv_id",
-    )
+    return P.profile_accounts(W.stored_messages(spark, sf), min_outbound=MIN_OUTBOUND)
 
 
 ACCOUNT_PROFILE = f"{_PROFILE_SQL} SELECT * FROM profile"
@@ -132,7 +129,7 @@ FROM scored ORDER BY total DESC, author_id LIMIT 10
 
 def source_vocabulary(spark, sf):
     docs = W.documents(spark, sf).select("source", "doc_id", "text")
-    richness = P.vocabulary_richness(docs, "source", "doc_id")
+    richness = P.vocabulary_richness(docs, "source", "doc_id", first=20)
     return richness.select("source", F.round("topic_ttr", 6).alias("topic_ttr"))
 
 
@@ -140,7 +137,7 @@ SOURCE_VOCABULARY = f"""
 SELECT source, round(count(DISTINCT word) / count(*), 6) AS topic_ttr FROM (
   SELECT source, unnest(regexp_split_to_array(lower(text), '{T.SPACE}+')) AS word FROM (
     SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS place FROM documents)
-  WHERE place <= 1000)
+  WHERE place <= 20)
 WHERE word <> '' GROUP BY source
 """
 

@@ -103,8 +103,7 @@ FROM relabelled
 
 
 def continuation(spark, sf):
-    words = F.element_at(F.split(F.col("text"), " "), 1)
-    opening = F.when(F.col("turn") == 0, F.lit("  Thank you!! .\n")).otherwise(words)
+    opening = F.when(F.col("turn") == 0, F.lit("  Thank you!! .\n")).otherwise(F.col("text"))
     return W.table(spark, sf, "conversations").select(
         "conv_id", "turn", R.is_continuation(T.clean_keep_punctuation(opening)).alias("mere")
     )
@@ -112,7 +111,7 @@ def continuation(spark, sf):
 
 CONTINUATION = f"""
 SELECT conv_id, turn, regexp_matches(
-  {W.sql_clean_keep("CASE WHEN turn = 0 THEN '  Thank you!! .' || chr(10) ELSE split_part(text, ' ', 1) END")},
+  {W.sql_clean_keep("CASE WHEN turn = 0 THEN '  Thank you!! .' || chr(10) ELSE text END")},
   '^{T.SPACE}*({"|".join(presets.CONTINUATION_WORDS)})[!.{T.SPACE_CHARS}]*$') AS mere
 FROM conversations
 """
