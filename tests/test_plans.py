@@ -8,6 +8,7 @@ from threadloom.operators import classes as C
 from threadloom.operators import threads as H
 from threadloom.operators.sampling import sample_per_stratum
 from threadloom.sources import tables as IO
+from workload import catalog
 from workload import common as W
 
 SF = "/root/testdata/sf0.001"
@@ -18,7 +19,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(catalog.ENTRIES))
 def test_no_cross_join_and_no_python_expression(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
