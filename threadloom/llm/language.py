@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from threadloom.llm.shared import arrow_map
 from threadloom.llm.words import CHUNK_BYTES, chunks
+from threadloom.sources.tables import stage
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -34,6 +35,8 @@ FILTERS = 16
 SAMPLE = 1500
 STEPS = 300
 BATCH = 128
+# languages whose counts are broadcast; more of them are joined by a shuffle
+FEW = 10_000
 UNKNOWN = "und"
 
 
@@ -179,7 +182,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, window: int = WINDOW, steps: int
         "lang", F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(3)), 33).alias("_draw"),
         F.expr("text").substr(at, F.lit(window)).alias("piece"),
     )
-    counts = usable.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_all"))
+    counts = stage(usable.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_all")), "languages")
+    if counts.count() <= FEW:  # so that no window is shuffled before the hash has let it through
+        counts = F.broadcast(counts)
     through = F.col("_draw") * F.col("_all") < F.lit(1.2 * sample * 2**31)
     drawn = pieces.join(counts, F.col("lang") == F.col("_lang")).where(through)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("_draw", "piece"))
