@@ -111,6 +111,12 @@ def test_build_corpus(spark):
     assert {r.intent_seed for r in corpus} == {"A"}
     again = CP.build_corpus(messages.repartition(5), CLASSES, "shop", size=20).collect()
     assert sorted(corpus) == sorted(again)
+    pairs = CP.matched_pairs(messages, "shop")
+    report = CP.corpus_report(messages, CP.corpus_of(pairs, CLASSES), "shop", pairs=pairs)
+    assert {r.metric: r.value for r in report.collect()} == {
+        "total_rows": 55.0, "brand_replies": 25.0, "matched_pairs": 25.0, "indexed_corpus": 25.0,
+        "class:A": 25.0, "share:A": 1.0,
+    }
 
 
 def test_retrieval_agent(spark, taxonomy):

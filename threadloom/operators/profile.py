@@ -160,8 +160,13 @@ def score_accounts(
     return out.withColumn("score", score).drop("_ends")
 
 
+def ordered_accounts(scored: DataFrame) -> DataFrame:
+    """All accounts, best first; the sort deals ranges of scores to tasks."""
+    return scored.orderBy(F.desc("score"), "author_id")
+
+
 def top_accounts(scored: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` best accounts with their rank."""
-    best = scored.orderBy(F.desc("score"), "author_id").limit(n)
+    best = ordered_accounts(scored).limit(n)
     order = Window.orderBy(F.desc("score"), F.col("author_id"))
     return best.withColumn("rank", F.row_number().over(order))

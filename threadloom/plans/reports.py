@@ -46,10 +46,12 @@ def evaluation_report(results: DataFrame) -> DataFrame:
 
 
 def agreement_report(judge: DataFrame, human: DataFrame) -> DataFrame:
-    """Per dimension, pooled and for the binned total: kappa, band, raw agreement and means."""
+    """Per dimension, pooled and for the binned total: kappa, band, raw agreement and means, all
+    over the valid judgements."""
+    judge = A.valid_judgements(judge)
     scores = A.long_scores(judge, human)
     by_dimension = A.kappa(scores, overall=True).join(A.rater_means(scores), "dimension", "left")
-    binned = A.binned_kappa(A.valid_judgements(judge), human)
+    binned = A.binned_kappa(judge, human)
     return by_dimension.unionByName(binned, allowMissingColumns=True)
 
 

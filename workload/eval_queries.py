@@ -495,11 +495,15 @@ def agreement_report(spark, sf):
     return _rounded(report, "kappa", "raw_agreement", "judge_mean", "human_mean")
 
 
+# every part of the report covers the judgements with a total
+_VALID_KAPPA = KAPPA_BY_DIMENSION.replace(
+    "FROM judge j JOIN", "FROM (SELECT * FROM judge WHERE total IS NOT NULL) j JOIN"
+)
 AGREEMENT_REPORT = f"""
 WITH {_SQL_RATERS}
-SELECT k.*, m.judge_mean, m.human_mean FROM ({KAPPA_BY_DIMENSION}) k
+SELECT k.*, m.judge_mean, m.human_mean FROM ({_VALID_KAPPA}) k
 LEFT JOIN (SELECT dimension, round(avg(a), 6) AS judge_mean, round(avg(b), 6) AS human_mean
-  FROM long GROUP BY dimension) m USING (dimension)
+  FROM long JOIN judge USING (message_id) WHERE total IS NOT NULL GROUP BY dimension) m USING (dimension)
 UNION ALL SELECT *, NULL, NULL FROM ({KAPPA_BINNED})
 """
 

@@ -11,6 +11,7 @@ from threadloom.operators import profile as P
 from threadloom.operators import ranking as R
 from threadloom.operators import sampling as S
 from threadloom.operators import similarity as M
+from threadloom.operators import text_similarity as TS
 from threadloom.operators import tfidf as X
 from threadloom.sources import tables as IO
 from workload import common as W
@@ -93,11 +94,15 @@ def account_profile(spark, sf):
 ACCOUNT_PROFILE = f"{_PROFILE_SQL} SELECT * FROM profile"
 
 
-def account_rank(spark, sf):
+def _scored_accounts(spark, sf):
     names = spark.createDataFrame([("acct1", "Alpha"), ("acct2", "Beta")],
                                   "author_id string, brand_name string")
     profile = P.profile_accounts(W.stored_messages(spark, sf), min_outbound=MIN_OUTBOUND)
-    best = P.top_accounts(P.score_accounts(P.name_accounts(profile, names)))
+    return P.score_accounts(P.name_accounts(profile, names))
+
+
+def account_rank(spark, sf):
+    best = P.top_accounts(_scored_accounts(spark, sf))
     return best.select(
         "rank", "author_id", "brand_name", "outbound_count",
         F.round("outbound_count_norm", 6).alias("outbound_count_norm"),
@@ -127,6 +132,19 @@ FROM scored ORDER BY total DESC, author_id LIMIT 10
 """
 
 
+def account_order(spark, sf):
+    """Every account of the profile, best first."""
+    return P.ordered_accounts(_scored_accounts(spark, sf)).select(
+        "author_id", "brand_name", "outbound_count", F.round("score", 6).alias("score")
+    )
+
+
+ACCOUNT_ORDER = f"""
+SELECT author_id, brand_name, outbound_count, score
+FROM ({ACCOUNT_RANK.replace(' LIMIT 10', '')}) ORDER BY rank
+"""
+
+
 def source_vocabulary(spark, sf):
     docs = W.documents(spark, sf).select("source", "doc_id", "text")
     richness = P.vocabulary_richness(docs, "source", "doc_id", first=20)
@@ -155,7 +173,7 @@ PREFIX_ROWS = (
 # --- TF-IDF ----------------------------------------------------------------------------------
 
 
-def _sql_tfidf(source: str, doc: str, bigrams: bool, min_df: int, max_df: float, features: int,
+def _sql_tfidf(source: str, doc: str, bigrams: bool, min_df: int, max_df: float, features: int | None,
                by: str | None = None) -> str:
     """CTEs ending in weighted(by, doc, term, weight, n_docs) over ``source(by, doc, text)``."""
     part = f"{by}, " if by else ""
@@ -183,7 +201,7 @@ kept AS (
   SELECT * FROM (
     SELECT *, row_number() OVER ({over}ORDER BY total DESC, term) AS place
     FROM dfs {join} WHERE df >= {min_df} AND df <= {max_df} * n_docs)
-  WHERE place <= {features}),
+  {f'WHERE place <= {features}' if features else ''}),
 raw_w AS (
   SELECT {', '.join(f'tfs.{c}' for c in ([by] if by else []) + [doc])}, tfs.term, n_docs,
     tf * (ln((1 + n_docs) / (1 + df)) + 1) AS w
@@ -247,25 +265,23 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY mean_weight D
 SELECT lang, rank, term, mean_weight FROM ranked WHERE rank <= 10
 """
 
-TEXT_FEATURES = 128
-
 
 def text_top_k(spark, sf):
     docs = W.table(spark, sf, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), "text"
     )
-    vectors = IO.stage(
-        X.text_vectors(docs, "id", F.col("text"), TEXT_FEATURES, W.STOP_WORDS), "text-vectors"
+    weights = IO.stage(
+        X.weights(docs, "id", F.col("text"), W.STOP_WORDS, bigrams=False).select("id", "term", "weight"),
+        "weights",
+    )
+    return TS.text_top_k(
+        weights.withColumnRenamed("id", "idx"), weights.withColumnRenamed("id", "query_id"), 3
     )
-    corpus = vectors.select(F.col("id").alias("idx"), "vec")
-    queries = vectors.select(F.col("id").alias("query_id"), "vec")
-    found = M.top_k(corpus, queries, 3)
-    return found.where(F.col("score") > 0).select("query_id", "rank", "idx", "score")
 
 
 TEXT_TOP_K = f"""
 WITH src AS (SELECT conv_id || '-' || turn AS id, text FROM conversations),
-{_sql_tfidf('src', 'id', False, 1, 1.0, TEXT_FEATURES)},
+{_sql_tfidf('src', 'id', False, 1, 1.0, None)},
 pairs AS (
   SELECT q.id AS query_id, v.id AS idx, round(sum(q.weight * v.weight), 6) AS score
   FROM weighted q JOIN weighted v ON q.term = v.term AND q.id <> v.id GROUP BY ALL),
@@ -457,6 +473,7 @@ QUERIES = {
     "account_activity": (account_activity, ACCOUNT_ACTIVITY),
     "account_profile": (account_profile, ACCOUNT_PROFILE),
     "account_rank": (account_rank, ACCOUNT_RANK),
+    "account_order": (account_order, ACCOUNT_ORDER),
     "source_vocabulary": (source_vocabulary, SOURCE_VOCABULARY),
     "prefix_rows": (prefix_rows, PREFIX_ROWS),
     "tfidf_top_terms": (tfidf_top_terms, TFIDF_TOP_TERMS),

@@ -282,15 +282,21 @@ BUILD_CORPUS = f"{_CORPUS_SQL} SELECT * FROM corpus"
 
 def corpus_report(spark, sf):
     messages = W.stored_messages(spark, sf)
-    corpus = IO.stage(CP.build_corpus(messages, W.CLASSES, size=2000), "corpus")
-    return CP.corpus_report(messages, corpus)
-
-
-CORPUS_REPORT = f"""{_CORPUS_SQL}
-SELECT 'total_rows' AS metric, count(*) AS value FROM messages
-UNION ALL SELECT 'brand_replies', count(*) FILTER (WHERE NOT inbound) FROM messages
-UNION ALL SELECT 'indexed_corpus', count(*) FROM corpus
-UNION ALL SELECT 'class:' || intent_seed, count(*) FROM corpus GROUP BY intent_seed
+    pairs = CP.matched_pairs(messages)
+    corpus = IO.stage(CP.corpus_of(pairs, W.CLASSES), "corpus")
+    return CP.corpus_report(messages, corpus, pairs=pairs)
+
+
+CORPUS_REPORT = f"""{_CORPUS_SQL.replace(' WHERE idx < 2000', '')},
+counted AS (SELECT intent_seed, count(*) AS n FROM corpus GROUP BY intent_seed),
+metrics AS (
+  SELECT 'total_rows' AS metric, count(*) AS value FROM messages
+  UNION ALL SELECT 'brand_replies', count(*) FILTER (WHERE NOT inbound) FROM messages
+  UNION ALL SELECT 'matched_pairs', count(*) FROM src
+  UNION ALL SELECT 'indexed_corpus', count(*) FROM corpus
+  UNION ALL SELECT 'class:' || intent_seed, n FROM counted)
+SELECT metric, value::DOUBLE AS value FROM metrics
+UNION ALL SELECT 'share:' || intent_seed, round(n / sum(n) OVER (), 6)::DOUBLE FROM counted
 """
 
 # --- evaluation sets -------------------------------------------------------------------------
@@ -382,16 +388,17 @@ NEAR_DUPLICATES = (
 
 
 def questions_and_corpus(spark, sf):
-    """Documents with an embedding, as questions and, with made-up replies, as past threads."""
+    """All documents as questions, and those with an embedding, with made-up replies, as past
+    threads. A question without an embedding finds nothing and gets the fallback draft."""
     docs = W.documents(spark, sf).select("doc_id", "text", "source")
     vectors = W.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec")
     )
-    rows = IO.stage(docs.join(vectors, "doc_id"), "embedded")
+    rows = IO.stage(docs.join(vectors, "doc_id", "left"), "embedded")
     questions = rows.select(
         F.col("doc_id").alias("message_id"), F.col("text").alias("input_text"), "source", "vec"
     )
-    corpus = rows.select(
+    corpus = rows.where(F.col("vec").isNotNull()).select(
         F.col("doc_id").alias("idx"), F.col("text").alias("customer_text"),
         F.concat(F.lit("Answer: "), F.col("text")).alias("reply_text"), "vec",
     )
@@ -415,8 +422,7 @@ pairs AS (
 hits AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, idx)
     AS rank FROM pairs) WHERE rank <= 3),
-asked AS (SELECT doc_id, text, source FROM documents
-  WHERE doc_id IN (SELECT vec_id FROM embeddings)),
+asked AS (SELECT doc_id, text, source FROM documents),
 {_sql_triage('asked', 'doc_id', 'text, source,')},
 agent AS (
   SELECT t.*, coalesce('Answer: ' || d.text,
@@ -732,6 +738,23 @@ FROM messages m LEFT JOIN (SELECT * FROM messages WHERE NOT inbound) r
   ON r.in_response_to_tweet_id = m.tweet_id WHERE m.inbound
 """
 
+
+
+def json_array_scan(spark, sf):
+    """Turns written as files that are one JSON list each, and read back."""
+    turns = W.table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    # lists of a bounded length, whatever the length of a conversation
+    part = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(turns.count() // 10_000 + 1))
+    lists = turns.groupBy(part.alias("part")).agg(
+        F.to_json(F.collect_list(F.struct(*turns.columns)), {"ignoreNullFields": "false"}).alias("value")
+    )
+    path = IO.work_folder(spark, "json-array")
+    lists.write.partitionBy("part").text(path)
+    return IO.read_json_array(spark, f"{path}/*", turns.schema)
+
+
+JSON_ARRAY_SCAN = "SELECT conv_id, turn, role, text FROM conversations"
+
 QUERIES = {
     "triage_threads": (triage_threads, TRIAGE_THREADS),
     "rule_relabel": (rule_relabel, RULE_RELABEL),
@@ -755,4 +778,5 @@ QUERIES = {
     "stream_triage": (stream_triage, _TRIAGED_TURNS),
     "csv_round_trip": (csv_round_trip, CSV_ROUND_TRIP),
     "json_round_trip": (json_round_trip, JSON_ROUND_TRIP),
+    "json_array_scan": (json_array_scan, JSON_ARRAY_SCAN),
 }
