@@ -96,5 +96,8 @@ def test_text_richness_reads_the_first_texts_only(tight):
         tight.range(2).select(F.lit("cold").alias("a"), "id", F.lit("same").alias("text"))
     )
     same = texts.withColumn("text", F.when(F.col("id") < 1000, F.lit("x y")).otherwise("text"))
-    got = {r.a: r.topic_ttr for r in P.vocabulary_richness(same, "a", "id").collect()}
+    got = {r.a: r.topic_ttr for r in P.vocabulary_richness(same, "a", "id", first=1000).collect()}
     assert got == {"hot": 2 / 2000, "cold": 2 / 4}
+    # without a limit the other 1,500 texts count, too; all of them are the word "text"
+    whole = {r.a: r.topic_ttr for r in P.vocabulary_richness(same, "a", "id").collect()}
+    assert whole == {"hot": 3 / 3500, "cold": 2 / 4}
