@@ -65,6 +65,27 @@ def test_groups_match_brute_force(spark, width, tile):
     assert len(got) == len(rows)
 
 
+def test_near_copies_among_many_excerpts(spark):
+    # every bucket of the two whole texts is led by a smaller id that is unlike both
+    rng = random.Random(5)
+    whole = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(sorted(rng.sample(whole, 54)))) for i in range(2500)]
+    rows += [(2500, " ".join(whole)), (2501, " ".join([*whole[:-1], "other"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs, width=1).collect()}
+    assert got == {i: min(i, 2500) for i in range(2502)}
+
+
+def test_tiles_of_a_bucket(spark):
+    odd = 0x5555555555555555
+    bits = [[0] * 8, [-1] * 8, [odd, odd, ~odd, ~odd] * 2]  # no slot agrees
+    rows = [(i, bits[i % 3], [7]) for i in range(40)]
+    sketch = spark.createDataFrame(rows, "doc_id long, bits array<long>, bands array<long>")
+    for tile in (512, 4):
+        got = {r["id"]: r["component"] for r in near_dup.families(sketch, tile=tile).collect()}
+        assert got == {i: i % 3 for i in range(40)}
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F"), (None, "a b c d e f"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
