@@ -87,6 +87,17 @@ def test_audit_finds_what_was_damaged(spark):
         ends[r["file"]] = r["offset"] + r["length"]
 
 
+def test_audit_locates_changed_lengths_lost_and_added_records(spark):
+    rows = [(i, f"text {i}") for i in range(0, 200, 2)] + [(70, "twice"), (70, "zwice")]
+    copy = [(i, "cut" if i == 40 else f"{t} longer" if t == "twice" else t) for i, t in rows if i != 90] + [(21, "added")]
+    sides = [warc.layout(warc.digests(spark.createDataFrame(r, "page_id long, record string")), 2) for r in (rows, copy)]
+    got = [r for r in warc.audit(*sides, fanout=3).collect()]
+    bad = sorted((r["page_id"], r["digest"] is None, r["other_digest"] is None) for r in got if r["status"] == "damaged")
+    assert bad == [(21, True, False), (40, False, False), (70, False, False), (90, False, True)]
+    assert len(got) == len(rows) + 1
+    assert all(r["digest"] == r["other_digest"] for r in got if r["status"] == "intact")
+
+
 def test_audit_of_missing_records_and_empty_tables(spark):
     rows = [(i, f"text {i}") for i in range(40)]
     full = warc.layout(warc.digests(spark.createDataFrame(rows, "page_id long, record string")), 1)

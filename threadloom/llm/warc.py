@@ -1,18 +1,21 @@
 """Operator 5: fixity audit of web archives by Merkle trees.
 
 Pages become archive records, laid out in files by hash of their id and, within a file, in order
-of id; a record's offset is the sum of the lengths before it. A record's leaf hashes its range
-(offset and length) with the record's own digest. ``FANOUT`` neighbouring nodes make the next
+of id; a record's offset is the sum of the lengths before it. A record's leaf hashes its id and
+range (offset and length) with the record's own digest. ``FANOUT`` neighbouring nodes make the next
 level, up to one root per file. Two replicas are compared root by root; only below a mismatching
-node are its children compared, level by level, down to the damaged records.
+node are its children compared, level by level, down to the leaves that differ. As a changed
+length, a lost or an added record shifts all leaves behind it, the records of these leaves are
+aligned by id: those that the other replica has unchanged, wherever in the file, are intact.
 
 A file holds about ``FILE_BYTES`` (a parameter), so the number of files grows with the table and
 each file's running sums stay in bounds. Digests, trees and comparisons are Spark expressions and
 aggregations over groups of at most ``FANOUT`` rows.
 
 Defined cases: null urls and html are empty. Rows without id take no part; rows that share an id
-(repeated rows) are records of their own, ordered by digest. Records that only one replica has
-show as damaged, with nulls for the other. An empty table gives an empty table.
+(repeated rows) are records of their own, ordered by digest; equal ones are aligned first. Records
+that only one replica has show as damaged, with nulls for the other; those that only the second has
+show at their place in it. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -64,7 +67,7 @@ def layout(hashed: DataFrame, files: int) -> DataFrame:
 
 def tree(leaves: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
     """Levels ``(file, place, hash)`` from the leaves up to one root per file."""
-    leaf = F.sha2(F.concat_ws(":", "offset", "length", "digest"), 256)
+    leaf = F.sha2(F.concat_ws(":", "page_id", "offset", "length", "digest"), 256)
     levels = [leaves.select("file", "place", leaf.alias("hash"))]
     widest = leaves.agg(F.max("place")).first()[0]
     while widest:
@@ -93,22 +96,40 @@ def damaged(left: list[DataFrame], right: list[DataFrame], fanout: int = FANOUT)
     return bad
 
 
+def aligned(first: DataFrame, second: DataFrame) -> DataFrame:
+    """``(file, page_id, place, other_place, other_digest)`` of the records that the other replica
+    has not, or has changed; records of both are given, and equal ones go in pairs."""
+    same = ["file", "page_id", "length", "digest", "_n"]
+    nth = F.row_number().over(Window.partitionBy(*same[:-1]).orderBy("place"))
+    a, b = stage(first.withColumn("_n", nth), "unaligned"), stage(second.withColumn("_n", nth), "unaligned")
+    turn = F.row_number().over(Window.partitionBy("file", "page_id").orderBy("digest", "place"))
+    left = a.join(b.select(*same), same, "left_anti").select("file", "page_id", "place", turn.alias("_turn"))
+    right = b.join(a.select(*same), same, "left_anti").select(
+        "file", "page_id", F.col("place").alias("other_place"), F.col("digest").alias("other_digest"), turn.alias("_turn")
+    )
+    return left.join(right, ["file", "page_id", "_turn"], "full").drop("_turn")
+
+
 def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """``(file, place, page_id, offset, length, digest, other_digest, status)`` of all records of
     two laid-out replicas; status is ``intact`` or ``damaged``. Digests are compared where trees
     led, nowhere else."""
     first, second = stage(first, "replica"), stage(second, "replica")
-    bad = damaged(tree(first, fanout), tree(second, fanout), fanout).withColumn("_bad", F.lit(True))
-    other = second.join(bad.drop("_bad"), ["file", "place"], "left_semi").select(
-        "file", "place", F.col("page_id").alias("_page"), F.col("digest").alias("other_digest")
-    )
-    found = bad.join(other, ["file", "place"], "left")
-    status = F.when(F.col("_bad"), "damaged").otherwise("intact")
-    return first.join(found, ["file", "place"], "full").select(
-        "file", "place", F.coalesce("page_id", "_page").alias("page_id"), "offset", "length", "digest",
+    bad = damaged(tree(first, fanout), tree(second, fanout), fanout)
+    below = [df.join(bad, ["file", "place"], "left_semi") for df in (first, second)]
+    found = stage(aligned(*below), "aligned")
+    here = found.where(F.col("place").isNotNull()).select("file", "place", "other_digest", F.lit(True).alias("_bad"))
+    records = first.join(here, ["file", "place"], "left").select(
+        "file", "place", "page_id", "offset", "length", "digest",
         F.when(F.col("_bad"), F.col("other_digest")).otherwise(F.col("digest")).alias("other_digest"),
-        status.alias("status"),
+        F.when(F.col("_bad"), "damaged").otherwise("intact").alias("status"),
+    )
+    added = found.where(F.col("place").isNull()).select(
+        "file", F.col("other_place").alias("place"), "page_id", F.lit(None).cast("long").alias("offset"),
+        F.lit(None).cast("long").alias("length"), F.lit(None).cast("string").alias("digest"), "other_digest",
+        F.lit("damaged").alias("status"),
     )
+    return records.unionByName(added)
 
 
 def flipped(text: Column, page_id: Column) -> Column:
