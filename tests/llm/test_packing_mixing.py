@@ -122,6 +122,17 @@ def test_mixed_documents_have_the_words_taken(spark):
     assert {i: words[i] for i in taken} == taken
 
 
+def test_mixed_documents_with_null_and_repeated_ids(spark):
+    rows = [([None, 1, 1, i][i % 4], " ".join([f"w{i}"] * (1 + i % 5)), "ab"[i % 2]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want, got = defaultdict(int), defaultdict(int)
+    for r in mixing.mix(docs).collect():
+        want[r["source"], r["doc_id"]] += r["taken"]
+    for r in mixing.mix_documents(docs).collect():
+        got[r["source"], r["doc_id"]] += len(r["text"].split())
+    assert {k: n for k, n in want.items() if n} == got
+
+
 def test_mix_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(docs).count() == 0

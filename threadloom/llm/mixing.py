@@ -74,14 +74,17 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 def mix(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
     key: str = "doc_id", text: str = "text", source: str = "source", ranges: int = RANGES,
+    row: str | None = None,
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, taken)`` for every document.
 
-    ``taken`` is the number of words the mix takes of a document, repeats counted.
+    ``taken`` is the number of words the mix takes of a document, repeats counted. ``row`` names a
+    column that is different in every row; it is kept, and orders rows that are else alike.
     """
+    own = [row] if row else []
     sized = docs.select(
         F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-        order_key(F.col(key)).alias("_key"),
+        order_key(F.col(key)).alias("_key"), *own,
     ).withColumn("_range", F.expr(f"(_key * {ranges}) div 4294967296"))
     rows = stage(sized, "sizes")
     by_range = stage(
@@ -93,7 +96,7 @@ def mix(
     )
     plan = targets(by_range.groupBy("source").agg(F.sum("_sum").alias("source_size")), weights, share, most)
     inner = (
-        Window.partitionBy("source", "_range").orderBy("_key", "doc_id", "size")
+        Window.partitionBy("source", "_range").orderBy("_key", "doc_id", "size", *own)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = rows.withColumn("_inner", F.coalesce(F.sum("size").over(inner), F.lit(0)))
@@ -109,7 +112,7 @@ def mix(
     cut = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_before") - F.col("_inner")))
     return joined.select(
         "doc_id", "source", "size", "source_size", F.col("target").cast("double"),
-        (epochs * F.col("size") + cut).cast("long").alias("taken"),
+        (epochs * F.col("size") + cut).cast("long").alias("taken"), *own,
     )
 
 
@@ -117,13 +120,17 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it whole, and the one document per
     source that the budget ends in shortened to the words taken. Columns are those of ``docs``.
 
-    Documents without words are kept once, as there is nothing of them to mix.
+    Documents without words are kept once, as there is nothing of them to mix. Rows are told apart
+    by a number written with them, so null and repeated ids are rows as any other.
     """
     columns = docs.columns
-    taken = mix(docs, **settings).select(F.col("doc_id").alias("_id"), "size", "taken")
-    rows = docs.join(taken, F.col("doc_id") == F.col("_id"))
-    whole = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(1).cast("int")
-    part = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
+    docs = stage(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mixed")
+    taken = mix(docs, row="_mix_row", **settings).select(
+        F.col("_mix_row").alias("_at"), F.col("size").alias("_size"), F.col("taken").alias("_taken")
+    )
+    rows = docs.join(taken, F.col("_mix_row") == F.col("_at"))
+    whole = F.when(F.col("_size") > 0, F.expr("_taken div _size")).otherwise(1).cast("int")
+    part = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(0)
     copies = rows.withColumn("_part", part).withColumn(
         "_copy", F.explode(F.concat(F.array_repeat(F.lit(0), whole), F.array_repeat(F.lit(1), F.signum("_part").cast("int"))))
     )
