@@ -92,6 +92,14 @@ def test_a_smaller_factor_visits_fewer_and_finds_most():
     assert len(seen[0.6][1] & seen[1.0][1]) >= 0.9 * len(seen[1.0][1])
 
 
+def test_no_matrix_passes_a_single_task(spark):
+    data, ids = np.random.default_rng(3).normal(size=(60, 4)), range(60)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, data)], "vec_id long, embedding array<double>")
+    found = exact_search.exact_top_k(rows, F.col("vec_id") < 5)
+    assert "SinglePartition" not in found._jdf.queryExecution().sparkPlan().toString()
+    assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_queries_no_vectors(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact_search.exact_top_k(empty, F.col("vec_id") >= 0).count() == 0

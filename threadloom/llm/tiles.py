@@ -1,8 +1,8 @@
 """Query blocks against shards of vectors: the frame that exact and tree search share.
 
-Vectors are packed into shards and queries into blocks, each a row of ids and one matrix. Shards
-keep to the task that read them; every block of queries is copied to every shard group and meets
-its shards there, one tile (block by shard) at a time. A tile returns the best of each of its
+Vectors are packed into shards and queries into blocks, each a row of ids and one matrix. A shard
+is packed and numbered by the task that read its vectors; every block of queries is copied to every
+shard of its length and meets it there, one tile (block by shard) at a time. A tile returns the best of each of its
 queries, and the lists of a query are merged as a tree: first in lanes of shards, then once more.
 So neither the queries nor the vectors, however many, are ever together in one place.
 """
@@ -83,19 +83,19 @@ def search(
     ``tile(query_ids, queries, ids, vectors)`` returns three arrays: query ids, ids and scores, at
     most a few more than ``k`` per query, and never a query with itself.
     """
-    shards = stage(pack(vectors, shard_rows), "shards")
+    # a shard gets its number in the task that packs it
+    shards = stage(pack(vectors, shard_rows).withColumn("shard", F.monotonically_increasing_id()), "shards")
     queries = vectors.where(is_query)
     blocks = max(1, -(-queries.count() // block_rows))
     packed = stage(pack(queries.repartition(blocks), block_rows), "queries")
-    groups = max(1, shards.count())
-    # one group per shard: the explode copies a block of queries once for every shard it meets
-    numbered = shards.withColumn(
-        "group", F.row_number().over(Window.orderBy("dim", F.xxhash64("ids"), F.length("data"))) - 1
-    ).select("group", F.col("dim").alias("_dim"), F.col("ids").alias("v_ids"), F.col("data").alias("v_data"))
-    sent = packed.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data")).withColumn(
-        "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    # a block of queries is copied once for every shard of its length; these are a row of two
+    # numbers for up to ``shard_rows`` vectors, and no matrix meets another but its own tile's
+    sent = packed.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data")).join(
+        F.broadcast(shards.select("dim", "shard")), "dim"
     )
-    tiles = sent.join(numbered, "group").where("dim = _dim").select("dim", "q_ids", "q_data", "v_ids", "v_data")
+    tiles = sent.join(
+        shards.select("shard", F.col("ids").alias("v_ids"), F.col("data").alias("v_data")), "shard"
+    ).select("dim", "q_ids", "q_data", "v_ids", "v_data")
 
     found = arrow_map(tiles, _run, FOUND_SQL.format(score=score), tile=tile, kind=score)
     order = [F.col("score").desc(), F.col("vec_id")]
