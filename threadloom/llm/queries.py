@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm import (
-    exact_search, language, mixing, near_dup, packing, repeats, suffix_tree, tree_search, url_filter,
-    warc,
+    exact_search, language, mixing, near_dup, packing, prefix_trie, repeats, suffix_tree, tree_search,
+    url_filter, warc,
 )
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +60,10 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf, "documents")).drop("kept_text")
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(_table(spark, sf, "conversations"))
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_language_id": (op2_language_id, None),
@@ -71,4 +75,5 @@ QUERIES = {
     "op8_exact_top_k": (op8_exact_top_k, exact_search.SQL),
     "op9_vantage_tree": (op9_vantage_tree, None),
     "op10_substring_dedup": (op10_substring_dedup, repeats.SQL),
+    "op11_prefix_trie": (op11_prefix_trie, prefix_trie.SQL),
 }
