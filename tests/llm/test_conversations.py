@@ -6,7 +6,7 @@ import zlib
 
 import pytest
 
-from threadloom.llm import prefix_trie, sequence
+from threadloom.llm import prefix_trie, role_repair, sequence
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, a string, pos string, sha256 string"
 
@@ -109,6 +109,112 @@ def test_trie_of_nothing(spark):
     assert prefix_trie.prefix_nodes(table(spark, [(None, 1, "user", "x")])).count() == 0
 
 
+MOVES = {("E", "s"): "S", ("E", "u"): "U", ("S", "u"): "U", ("P", "u"): "U", ("U", "a"): "P"}
+ROLE = {"u": "user", "a": "assistant"}
+
+
+def cheapest(rows):
+    """(cost, audit, lines) of rows (role, text, must go, truncated), from the end backwards."""
+    best = {"E": (0, "", ()), "P": (0, "", ())}
+
+    def spread(best):
+        changed = True
+        while changed:
+            changed = False
+            for q in "ESUP":
+                for x in "ua":
+                    after = best.get(MOVES.get((q, x)))
+                    if after:
+                        way = (after[0] + 3, "I" + after[1], (f"{ROLE[x]}:", *after[2]))
+                        if q not in best or way[:2] < best[q][:2]:
+                            best[q], changed = way, True
+        return best
+
+    best = spread(best)
+    for role, text, gone, cut in reversed(rows):
+        now = {}
+        for q in "ESUP":
+            ways = []
+            if q in best:
+                c, audit, lines = best[q]
+                ways.append((c + 4, "D" + audit, lines))
+            if not gone:
+                for x, op in ((role[:1], "K"), ("u", "R"), ("a", "R")):
+                    after = best.get(MOVES.get((q, x)))
+                    if after:
+                        fee = 3 * (op == "R") + 3 * cut
+                        ways.append((after[0] + fee, op + after[1], (f"{role if op == 'K' else ROLE[x]}:{text}", *after[2])))
+            if ways:
+                now[q] = min(ways)
+        best = spread(now)
+    return best["E"]
+
+
+def brute_repairs(rows):
+    convs = {}
+    for c, turn, role, text in rows:
+        mine = convs.setdefault(c, [])
+        key = f"{' ' if c is None else c}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = text.translate({ord(x): None for x in ".!?"})
+        if kind == 4:
+            role = "user"
+        mine += [(turn is not None, turn or 0, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    for c, mine in convs.items():
+        mine.sort()
+        seen, faults, read = set(), [], []
+        for _, _, role, text in mine:
+            shown = text.rstrip(" \t\n\x0b\x0c\r")
+            fault = "b" if not shown else "d" if (role, text) in seen else "t" if shown[-1] not in ".!?" else ""
+            seen.add((role, text))
+            faults.append(fault)
+            read.append((role, text, fault in ("b", "d"), fault == "t"))
+        named = [t for has, t, _, _ in mine if has]
+        pairs = [a[2][:1] + b[2][:1] for a, b in zip(mine, mine[1:])]
+        cost, audit, lines = cheapest(read)
+        yield (
+            c, max(named) - min(named) + 1 - len(set(named)) if named else 0, *[faults.count(f) for f in "bdt"],
+            sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+        )
+
+
+def chats(seed, n=120, longest=40):
+    rng = random.Random(seed)
+    texts = ["Yes.", "no", "So?  ", " ", "", None, "Good!\n", "a.b", "é"]
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", None, "", "ummm"]
+    rows = []
+    for c in range(n):
+        for i in range(rng.randint(1, rng.choice([3, 8, longest]))):
+            rows.append((c, rng.choice([i, i, i, i, None, i // 2]), rng.choice(roles), rng.choice(texts) if rng.random() < 0.7 else f"{i}."))
+    return rows + rng.sample(rows, 6) + [(None, 3, "user", "x."), (None, None, "assistant", "y"), (1234, 12, "user", "dropped")]
+
+
+@pytest.mark.parametrize(("seed", "span"), [(1, 1 << 16), (2, 5), (3, 1)])
+def test_repairs_match_brute_force(spark, seed, span):
+    rows = chats(seed)
+    got = role_repair.repair_conversations(table(spark, rows), span)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(brute_repairs(rows), key=str)
+
+
+def test_repair_of_nothing_and_of_all_dropped(spark):
+    assert role_repair.repair_conversations(table(spark, [])).count() == 0
+    turn = next(t for t in range(99) if zlib.crc32(f"5:{t}".encode()) % 20 == 0)
+    got = role_repair.repair_conversations(table(spark, [(5, turn, "user", "x")])).collect()
+    assert [tuple(r) for r in got] == [(5, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+
+
+def test_graph_of_another_grammar():
+    """What may follow a pair depends on the node below it."""
+    graph = role_repair.Graph((("S", "Pair"), ("S", "s Pair a"), ("Pair", "u a")))
+    for symbols, cost in (("ua", 0), ("suaa", 0), ("sua", 3), ("uaa", 4), ("a", 3), ("saaa", 3), ("s", 6)):
+        tops, _ = graph.read(symbols, graph.root)
+        assert graph.closing(tops)[0] == cost, symbols
+
+
 @pytest.mark.parametrize("size", [4 << 20, 40])
 def test_digests_over_ranges(spark, monkeypatch, size):
     monkeypatch.setattr(sequence, "PIECE_BYTES", size)
