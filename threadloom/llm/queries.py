@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm import (
-    exact_search, language, mixing, near_dup, packing, prefix_trie, repeats, role_repair, suffix_tree,
-    tree_search, url_filter, warc,
+    exact_search, gram_join, language, mixing, near_dup, packing, prefix_trie, repeats, role_repair,
+    suffix_tree, tree_search, url_filter, warc,
 )
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,10 @@ def op12_role_repair(spark: SparkSession, sf: str) -> DataFrame:
     return role_repair.repair_conversations(_table(spark, sf, "conversations"))
 
 
+def op13_gram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return gram_join.gram_groups(_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_language_id": (op2_language_id, None),
@@ -81,4 +85,5 @@ QUERIES = {
     "op10_substring_dedup": (op10_substring_dedup, repeats.SQL),
     "op11_prefix_trie": (op11_prefix_trie, prefix_trie.SQL),
     "op12_role_repair": (op12_role_repair, role_repair.SQL),
+    "op13_gram_join": (op13_gram_join, gram_join.SQL),
 }
