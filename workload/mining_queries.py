@@ -336,7 +336,7 @@ TOP_K_EXCLUDE_SELF = f"WITH {_OTHERS} SELECT query_id, rank, idx, score FROM ran
 
 
 def top_k_grid(spark, sf):
-    return M.top_k(*_vectors(spark, sf), 5, broadcast_bytes=0).select(
+    return M.top_k(*_vectors(spark, sf), 5, cell_rows=40).select(
         "query_id", "rank", "idx", "score"
     )
 
