@@ -1,7 +1,10 @@
+import csv
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom import schemas
 from threadloom.operators import incremental as I
@@ -36,6 +39,37 @@ def test_csv_keeps_quotes_breaks_and_blanks(spark, tmp_path):
     assert row.inbound is None and row.response_tweet_id is None
 
 
+@pytest.mark.parametrize(("seed", "end", "size"), [(1, "\n", 700), (2, "\r\n", 64), (3, "\n", 1 << 20)])
+def test_csv_ranges_that_begin_inside_quotes(spark, tmp_path, seed, end, size):
+    rng = random.Random(seed)
+    parts = ["plain", "two\nlines", '"quoted"', "a,b", "\n\n", "", "x" * 90, "\u00d6l", " blank ", "cr\r\nlf", '"', "\n\"\n"]
+    rows = [(str(i), "".join(rng.choices(parts, k=rng.randint(0, 5))), rng.choice(parts)) for i in range(400)]
+    for name, mine in (("a.csv", rows[:390]), ("b.csv", rows[390:]), ("c.csv", [])):
+        with open(tmp_path / name, "w", encoding="utf-8", newline="") as out:
+            writer = csv.writer(out, lineterminator=end)
+            writer.writerow(["id", "head\nline", "z"])
+            writer.writerows(mine)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "y", "z")])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, size)
+        lines = IO.quoted_csv._lines(spark, str(tmp_path))
+        assert size > 1000 or lines.rdd.getNumPartitions() > 8
+        got = IO.read_csv(spark, str(tmp_path), schema).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.id: (r.y, r.z) for r in got} == {i: (y or None, z or None) for i, y, z in rows} and len(got) == 400
+
+
+def test_csv_with_stray_quotes(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('id,y\n1,5" pipe\n2,"a\nb"\n', encoding="utf-8")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "y")])
+    got = IO.read_csv(spark, str(tmp_path), schema, stray_quotes=True)
+    assert {tuple(r) for r in got.collect()} == {("1", '5" pipe'), ("2", "a\nb")}
+
+
 def test_json_array_and_lines(spark, tmp_path):
     records = [
         {"message_id": "a", "retrieved_hits": [{"idx": 1, "reply_text": "r", "score": 0.5}],

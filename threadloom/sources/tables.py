@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadloom.sources import quoted_csv
+from threadloom.sources.staging import (  # noqa: F401
+    read_table, release, session_folder, stage, work_folder, write_table,
+)
+
 # words that the usual CSV readers of the Python world take as missing (fixed values)
 COMMON_MISSING_WORDS = (
     "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
@@ -17,21 +21,26 @@ COMMON_MISSING_WORDS = (
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, missing: Sequence[str] = ()
+    spark: SparkSession, path: str, schema: T.StructType, missing: Sequence[str] = (),
+    stray_quotes: bool = False,
 ) -> DataFrame:
     """CSV with header, quoted line breaks and doubled quotes.
 
-    Empty fields are NULL, and so are the words in ``missing``. A file whose records span lines
-    cannot be split, so read it once with :func:`land_csv` and query the Parquet copy.
+    Empty fields are NULL, and so are the words in ``missing``. Large files are read in byte ranges,
+    which takes quotes at their word. Files with quotes inside unquoted fields need
+    ``stray_quotes``; then one task reads a whole file.
     """
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    if stray_quotes:
+        raw = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("multiLine", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .csv(path)
+        )
+    else:
+        raw = quoted_csv.read(spark, path, schema)
     gone = ["", *missing]
     return raw.select(
         *[
@@ -75,43 +84,3 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
-
-
-def write_table(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Parquet sink, also used for vector tables and report tables."""
-    df.write.mode(mode).parquet(path)
-
-
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write an expensive intermediate table once and go on from its copy.
-
-    Later plans read only the columns and rows they need, and lost executors do not bring the
-    whole derivation back.
-    """
-    path = work_folder(df.sparkSession, name)
-    write_table(df, path)
-    return read_table(df.sparkSession, path, df.schema)
-
-
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder that every executor can reach, below the session's own working folder."""
-    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def session_folder(spark: SparkSession) -> str:
-    """Where a session keeps its staged tables: below ``spark.checkpoint.dir``, or, where that is
-    not set, below the warehouse, which a cluster shares as well."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/threadloom-{spark.sparkContext.applicationId}"
-
-
-def release(spark: SparkSession) -> None:
-    """Delete every staged table of the session. Call it when no result that reads one is needed."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(session_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
