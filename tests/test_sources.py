@@ -107,6 +107,68 @@ def test_resume_processes_only_what_is_new(spark, tmp_path):
     assert sorted((r.id, r.run) for r in got) == [("a", 1), ("b", 1), ("c", 2)]
 
 
+def test_a_run_that_was_not_committed_does_not_count(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def work(rows):
+        return rows.withColumn("twice", F.col("v") * 2)
+
+    rows = [("a", 3, {"k": "x"}), ("a", 1, {"k": "y"}), ("b", 5, None), (None, 7, None)]
+    source = spark.createDataFrame(rows, "id string, v int, m map<string,string>")
+    log = I.RunLog(spark, out)
+    # stopped between write and commit
+    log.write(work(I.unique_rows(source, "id")).withColumn("v", F.lit(-9)).withColumn("_bucket", I.bucket("id")), log.next_name())
+    assert log.read() is None and log.runs() == []
+    got = I.resume(source, out, "id", work)
+    assert sorted((r.id, r.v, r.twice, r.m) for r in got.collect()) == [("a", 1, 2, {"k": "y"}), ("b", 5, 10, None)]
+    more = spark.createDataFrame([("b", 0, None), ("c", 4, None)], source.schema)
+    for again in (more, more):  # the second time there is nothing to do
+        got = I.resume(again, out, "id", work)
+        assert sorted((r.id, r.v) for r in got.collect()) == [("a", 1), ("b", 5), ("c", 4)]
+    before = sorted(got.drop("m").collect())
+    log.write(more.withColumn("twice", F.lit(0)).withColumn("_bucket", F.lit(0)), "merged-00000000")  # a merge that stopped
+    assert sorted(log.read().drop("m", "_bucket").collect()) == before
+    log.merge()
+    assert log.runs() == ["merged-00000000"]
+    assert sorted(log.read().drop("m", "_bucket").collect()) == before
+    got = I.resume(spark.createDataFrame([("d", 8, None)], source.schema), out, "id", work)
+    assert sorted(r.id for r in got.collect()) == ["a", "b", "c", "d"] and len(log.runs()) == 2
+    with pytest.raises(Exception, match="exist"):
+        log.commit(log.runs()[0], source.schema)
+
+
+def test_stream_state_is_bounded(spark, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = spark.createDataFrame([], "message_id string, v int").schema
+    seen = []
+    for day in range(3):
+        rows = [(f"m{i}", day) for i in range(day * 20, day * 20 + 60)] + [("m0", day), (None, day)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = ST.read_new_files(spark, source, schema)
+        got = ST.run_available(stream, lambda df: df, out, check, progress=seen)
+        assert got.count() == 60 + 20 * day
+    assert {r.message_id: r.v for r in got.collect()} == {f"m{i}": max(0, (i - 40) // 20) for i in range(100)}
+    assert len(seen) == 3 and all(not p.stateOperators for p in seen)  # no id is remembered by the stream
+    log = I.RunLog(spark, out)
+    I.add_run(log, got.limit(1).withColumn("message_id", F.lit("new")), "message_id", lambda df: df, log.runs()[-1])
+    assert ST.run_available(ST.read_new_files(spark, source, schema), lambda df: df, out, check).count() == 100
+
+
+def test_stream_with_event_time_keeps_a_window_of_ids(spark, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = spark.createDataFrame([], "message_id string, at timestamp").schema
+    seen = []
+    for day in range(5):
+        rows = spark.range(day * 10, day * 10 + 30).select(
+            F.concat(F.lit("m"), "id").alias("message_id"), F.timestamp_seconds(F.lit(86400 * (100 + 3 * day))).alias("at")
+        )
+        rows.coalesce(1).write.mode("append").parquet(source)
+        got = ST.run_available(ST.read_new_files(spark, source, schema), lambda df: df, out, check, event_time="at", progress=seen)
+    assert got.count() == 70 and got.select("message_id").distinct().count() == 70
+    held = [o.numRowsTotal for p in seen for o in p.stateOperators]
+    assert held and max(held) <= 90 and held[-1] <= 60  # of 150 rows
+
+
 def test_stream_continues_and_agrees_with_batch(spark, tmp_path, taxonomy):
     source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     rows = [("1", "lost and late"), ("2", "refund the fraud"), ("3", "hello")]

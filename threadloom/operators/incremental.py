@@ -1,34 +1,151 @@
-"""Resumable work: process what is not in the output yet, and append it."""
+"""Resumable work: process what is not in the output yet, and append it.
+
+The output is a table of runs. A run's rows are written to a folder of their own, and only a small
+file in the log of commits makes them count. What a lost driver or a stopped job leaves behind is
+never read, and the run that takes its place writes over it.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BUCKETS = 256
+_BUCKET = "_bucket"
+
+
+class RunLog:
+    """Committed runs of rows at ``path``: ``runs/_run=<name>`` holds rows, ``commits/<name>`` says
+    that they count, of which columns they are, and which runs they replace."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._channels = jvm.java.nio.channels.Channels
+        self._charset = jvm.java.nio.charset.StandardCharsets.UTF_8
+
+    def _names(self) -> list[str]:
+        folder = self._path(f"{self.path}/commits")
+        if not self._files.exists(folder):
+            return []
+        return sorted(s.getPath().getName() for s in self._files.listStatus(folder))
+
+    def _commit(self, name: str) -> dict:
+        stream = self._files.open(self._path(f"{self.path}/commits/{name}"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def committed(self, name: str) -> bool:
+        return self._files.exists(self._path(f"{self.path}/commits/{name}"))
+
+    def runs(self) -> list[str]:
+        """The runs whose rows make up the table, oldest name first."""
+        names = self._names()
+        gone = {old for name in names if name.startswith("merged-") for old in self._commit(name)["replaces"]}
+        return [n for n in names if n not in gone]
+
+    def next_name(self) -> str:
+        """A number after all that were committed; a run that was not keeps it for the next try."""
+        return f"run-{sum(n.startswith('run-') for n in self._names()):08d}"
+
+    def read(self, schema: T.StructType | None = None) -> DataFrame | None:
+        """All rows that count, with their bucket; columns as given, or as the latest run has them.
+        Before the first run, an empty table of ``schema`` (None if not given)."""
+        runs = self.runs()
+        if not runs:
+            return self.spark.createDataFrame([], schema) if schema is not None else None
+        if schema is None:
+            schema = T.StructType.fromJson(self._commit(runs[-1])["schema"])
+        fields = [f for f in schema.fields if f.name != _BUCKET]
+        reader = self.spark.read.option("basePath", f"{self.path}/runs")
+        reader = reader.schema(T.StructType([*fields, T.StructField(_BUCKET, T.IntegerType())]))
+        return reader.parquet(*[f"{self.path}/runs/_run={n}" for n in runs]).drop("_run")
+
+    def write(self, df: DataFrame, name: str) -> None:
+        """Write a run's rows, which do not count until :meth:`commit`."""
+        df.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self.path}/runs/_run={name}")
+
+    def commit(self, name: str, schema: T.StructType, replaces: tuple[str, ...] = ()) -> None:
+        """Make a written run count. Of two jobs that commit one name, the second fails."""
+        stream = self._files.create(self._path(f"{self.path}/commits/{name}"), False)
+        try:
+            stream.write(bytearray(json.dumps({"replaces": list(replaces), "schema": schema.jsonValue()}).encode()))
+        finally:
+            stream.close()
+
+    def append(self, df: DataFrame, name: str) -> None:
+        """Write and commit a run, unless it was committed before."""
+        if not self.committed(name):
+            self.write(df, name)
+            self.commit(name, df.schema)
+
+    def merge(self) -> None:
+        """Put the rows of all runs into one, so that a long log stays quick to read."""
+        runs = self.runs()
+        if len(runs) > 1:
+            name = f"merged-{sum(n.startswith('merged-') for n in self._names()):08d}"
+            # as many files as buckets: rows of a bucket come together
+            rows = self.read().repartition(_BUCKET)
+            self.write(rows, name)
+            self.commit(name, rows.schema, tuple(runs))
+
+
+def bucket(row_id: str) -> Column:
+    return F.pmod(F.xxhash64(row_id), F.lit(BUCKETS)).cast("int")
+
+
+def _sortable(field: T.StructField) -> Column:
+    text = field.dataType.simpleString()
+    return F.to_json(F.struct(field.name)) if "map<" in text or "variant" in text else F.col(field.name)
+
+
+def unique_rows(df: DataFrame, row_id: str) -> DataFrame:
+    """One row of each id: the smallest by the other columns in their order. Rows without id, which
+    could not be found again, are left out."""
+    others = [f for f in df.schema.fields if f.name != row_id]
+    named = df.where(F.col(row_id).isNotNull())
+    if not others:
+        return named.distinct()
+    row = F.struct(*[f.name for f in others])
+    best = named.groupBy(row_id).agg(F.min_by(row, F.struct(*[_sortable(f) for f in others])).alias("_row"))
+    return best.select(row_id, "_row.*").select(*df.columns)
 
 
 def pending(source: DataFrame, done: DataFrame, row_id: str) -> DataFrame:
-    """Rows of ``source`` whose id is not in ``done``; one of each id, if ids repeat."""
-    return source.join(done.select(row_id), row_id, "left_anti").dropDuplicates([row_id])
+    """Rows of ``source`` whose id is not in ``done``; the smallest one of each id, if ids repeat."""
+    return unique_rows(source.join(done.select(row_id), row_id, "left_anti").select(*source.columns), row_id)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The output so far, or None before the first run."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def add_run(
+    log: RunLog, source: DataFrame, row_id: str, work: Callable[[DataFrame], DataFrame], name: str, few: bool = False
+) -> None:
+    """Commit ``work`` of the rows that the log lacks as one run. ``few`` rows look up only those
+    buckets of the stored ids that they fall into."""
+    if log.committed(name):
+        return
+    done = log.read()
+    if done is None:
+        todo = unique_rows(source, row_id)
+    else:
+        if few:
+            mine = [r[0] for r in source.select(bucket(row_id)).distinct().collect()]  # at most BUCKETS
+            done = done.where(F.col(_BUCKET).isin(mine))
+        todo = pending(source, done, row_id)
+    log.append(work(todo).withColumn(_BUCKET, bucket(row_id)), name)
 
 
 def resume(
     source: DataFrame, path: str, row_id: str, work: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """Run ``work`` on the rows that the Parquet output at ``path`` lacks, append, return all."""
-    spark = source.sparkSession
-    done = _stored(spark, path)
-    todo = source.dropDuplicates([row_id]) if done is None else pending(source, done, row_id)
-    work(todo).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    """Run ``work`` on the rows that the output at ``path`` lacks, append, return all."""
+    log = RunLog(source.sparkSession, path)
+    add_run(log, source, row_id, work, log.next_name())
+    return log.read().drop(_BUCKET)
