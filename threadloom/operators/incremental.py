@@ -14,16 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 256
+BUCKETS = 64
 _BUCKET = "_bucket"
+BY = ((_BUCKET, T.IntegerType()),)
 
 
 class RunLog:
     """Committed runs of rows at ``path``: ``runs/_run=<name>`` holds rows, ``commits/<name>`` says
-    that they count, of which columns they are, and which runs they replace."""
+    that they count, of which columns they are, and which runs they replace. Rows are laid out in
+    folders by the columns ``by``, which they must have."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, by: tuple[tuple[str, T.DataType], ...] = BY):
+        self.spark, self.path, self.by = spark, path.rstrip("/"), by
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._files = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -57,21 +59,22 @@ class RunLog:
         return f"run-{sum(n.startswith('run-') for n in self._names()):08d}"
 
     def read(self, schema: T.StructType | None = None) -> DataFrame | None:
-        """All rows that count, with their bucket; columns as given, or as the latest run has them.
+        """All rows that count, with their folder columns; columns as given, or as the latest run has them.
         Before the first run, an empty table of ``schema`` (None if not given)."""
         runs = self.runs()
         if not runs:
             return self.spark.createDataFrame([], schema) if schema is not None else None
         if schema is None:
             schema = T.StructType.fromJson(self._commit(runs[-1])["schema"])
-        fields = [f for f in schema.fields if f.name != _BUCKET]
+        folders = [T.StructField(name, kind) for name, kind in self.by]
+        fields = [f for f in schema.fields if f.name not in {name for name, _ in self.by}]
         reader = self.spark.read.option("basePath", f"{self.path}/runs")
-        reader = reader.schema(T.StructType([*fields, T.StructField(_BUCKET, T.IntegerType())]))
+        reader = reader.schema(T.StructType([*fields, *folders]))
         return reader.parquet(*[f"{self.path}/runs/_run={n}" for n in runs]).drop("_run")
 
     def write(self, df: DataFrame, name: str) -> None:
         """Write a run's rows, which do not count until :meth:`commit`."""
-        df.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self.path}/runs/_run={name}")
+        df.write.mode("overwrite").partitionBy(*[name for name, _ in self.by]).parquet(f"{self.path}/runs/_run={name}")
 
     def commit(self, name: str, schema: T.StructType, replaces: tuple[str, ...] = ()) -> None:
         """Make a written run count. Of two jobs that commit one name, the second fails."""
@@ -87,13 +90,14 @@ class RunLog:
             self.write(df, name)
             self.commit(name, df.schema)
 
-    def merge(self) -> None:
-        """Put the rows of all runs into one, so that a long log stays quick to read."""
+    def merge(self, rows: DataFrame | None = None) -> None:
+        """Put the rows of all runs, or what is given for them, into one run, so that a long log
+        stays quick to read."""
         runs = self.runs()
         if len(runs) > 1:
             name = f"merged-{sum(n.startswith('merged-') for n in self._names()):08d}"
-            # as many files as buckets: rows of a bucket come together
-            rows = self.read().repartition(_BUCKET)
+            # as many files as folders: rows of a folder come together
+            rows = (self.read() if rows is None else rows).repartition(*[c for c, _ in self.by])
             self.write(rows, name)
             self.commit(name, rows.schema, tuple(runs))
 
@@ -139,7 +143,9 @@ def add_run(
             mine = [r[0] for r in source.select(bucket(row_id)).distinct().collect()]  # at most BUCKETS
             done = done.where(F.col(_BUCKET).isin(mine))
         todo = pending(source, done, row_id)
-    log.append(work(todo).withColumn(_BUCKET, bucket(row_id)), name)
+    made = work(todo).withColumn(_BUCKET, bucket(row_id))
+    # one file a bucket from a few rows; many rows are written where they are
+    log.append(made.repartition(_BUCKET) if few else made, name)
 
 
 def resume(

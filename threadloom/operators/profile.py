@@ -106,9 +106,12 @@ def profile_accounts(
     accounts = eligible(activity(messages), max_inbound, min_outbound)
     # the other measures have one row per account, too: no message row is joined on its author
     richness = vocabulary_richness(answering_texts(messages), "author_id", "tweet_id")
-    joined = accounts.join(completeness(messages), "author_id", "left").join(
-        richness, "author_id", "left"
-    )
+    return assemble(accounts, completeness(messages), richness)
+
+
+def assemble(accounts: DataFrame, complete: DataFrame, richness: DataFrame) -> DataFrame:
+    """Accounts with all measures, rounded to three decimals; one row per account on every side."""
+    joined = accounts.join(complete, "author_id", "left").join(richness, "author_id", "left")
     measures = {
         "pct_inbound": F.col("pct_inbound"),
         "thread_completeness": F.coalesce("thread_completeness", F.lit(0.0)),

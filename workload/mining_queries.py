@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from threadloom.functions import text as T
 from threadloom.functions import vectors as V
 from threadloom.operators import classes as C
+from threadloom.operators import keyword_index as KX
 from threadloom.operators import profile as P
+from threadloom.operators import profile_state as PS
 from threadloom.operators import ranking as R
 from threadloom.operators import sampling as S
 from threadloom.operators import similarity as M
@@ -94,6 +96,15 @@ def account_profile(spark, sf):
 ACCOUNT_PROFILE = f"{_PROFILE_SQL} SELECT * FROM profile"
 
 
+def account_profile_days(spark, sf):
+    """The same profile from the states of three days; many answers come before what they answer."""
+    messages = W.stored_messages(spark, sf)
+    log = PS.open_log(spark, IO.work_folder(spark, "profile"))
+    for day in range(3):
+        PS.add_day(log, messages.where(F.col("turn") % 3 == (2 - day)), f"day-{day}")
+    return PS.profile(log, min_outbound=MIN_OUTBOUND)
+
+
 def _scored_accounts(spark, sf):
     names = spark.createDataFrame([("acct1", "Alpha"), ("acct2", "Beta")],
                                   "author_id string, brand_name string")
@@ -335,6 +346,27 @@ def top_k_exclude_self(spark, sf):
 TOP_K_EXCLUDE_SELF = f"WITH {_OTHERS} SELECT query_id, rank, idx, score FROM ranked WHERE rank <= 5"
 
 
+def keyword_table(spark, sf):
+    """Best class of every document by a keyword table drawn from the data: the words of the
+    benchmark, classed by their first letter."""
+    words = W.table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"), 1)).alias("word"))
+    first = F.substring("word", 1, 1)
+    table = words.distinct().select(F.ascii(first).alias("turn"), first.alias("class"), "word")
+    return KX.best_classes(
+        W.table(spark, sf, "documents"), "doc_id", F.coalesce(F.lower("text"), F.lit("")), table, "none"
+    ).select(F.col("row_id").alias("doc_id"), "label", "score")
+
+
+KEYWORD_TABLE = """
+WITH words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS word FROM benchmark),
+hits AS (
+  SELECT doc_id, left(word, 1) AS label, count(*) AS score
+  FROM documents JOIN words ON contains(lower(text), word) GROUP BY ALL),
+best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1)
+SELECT doc_id, coalesce(label, 'none') AS label, coalesce(score, 0) AS score FROM documents LEFT JOIN best USING (doc_id)
+"""
+
+
 def top_k_grid(spark, sf):
     return M.top_k(*_vectors(spark, sf), 5, cell_rows=40).select(
         "query_id", "rank", "idx", "score"
@@ -472,6 +504,8 @@ SELECT vec_id, label, class_rank FROM (
 QUERIES = {
     "account_activity": (account_activity, ACCOUNT_ACTIVITY),
     "account_profile": (account_profile, ACCOUNT_PROFILE),
+    "account_profile_days": (account_profile_days, ACCOUNT_PROFILE),
+    "keyword_table": (keyword_table, KEYWORD_TABLE),
     "account_rank": (account_rank, ACCOUNT_RANK),
     "account_order": (account_order, ACCOUNT_ORDER),
     "source_vocabulary": (source_vocabulary, SOURCE_VOCABULARY),
