@@ -74,7 +74,8 @@ def test_unscored_labels(spark):
 def test_labelled_or_all(spark, labelled, kept):
     by = F.when(F.col("id") < labelled, "me").when(F.col("id") % 2 == 0, "NEEDS_HUMAN_REVIEW")
     rows = spark.range(20).select("id", by.alias("labelled_by"))
-    assert E.labelled_or_all(rows, E.was_reviewed(F.col("labelled_by"))).count() == kept
+    assert E.labelled_or_all(rows, E.was_reviewed(F.col("labelled_by")), 10).count() == kept
+    assert E.labelled_or_all(rows, F.lit(False), 0).count() == 0
 
 
 def test_failures(spark):

@@ -135,8 +135,9 @@ def golden_corpus(spark):
 def test_golden_set(spark):
     policy = {"ACCOUNT_ACCESS": ("escalate", "identity"), "ORDER_DELIVERY_STATUS": ("auto", "track")}
     corpus = golden_corpus(spark)
-    one = G.build(corpus.repartition(1), policy).collect()
-    many = G.build(corpus.repartition(9), policy).collect()
+    rule = {"cap": 250, "dedup_prefix": 100}
+    one = G.build(corpus.repartition(1), policy, **rule).collect()
+    many = G.build(corpus.repartition(9), policy, **rule).collect()
     assert sorted(one) == sorted(many)
     batches = {}
     for r in one:
@@ -150,3 +151,15 @@ def test_golden_set(spark):
     assert all(20 <= len(r.input_text) <= 80 for r in batches["C_short"])
     assert {r.gold_intent for r in batches["C_ambiguous"]} == {"UNCLASSIFIED"}
     assert not any("ж" in r.input_text for r in one)
+
+
+def test_golden_set_of_whole_texts_and_with_a_cap(spark):
+    policy = {"ACCOUNT_ACCESS": ("escalate", "identity")}
+    corpus = golden_corpus(spark).withColumn(
+        "customer_text", F.concat(F.repeat(F.lit("same words "), F.lit(12)), (F.col("tweet_id") % 50).cast("string"))
+    )
+    whole = G.build(corpus, policy).collect()
+    assert len({r.input_text for r in whole}) == len(whole) > 10
+    assert len(G.build(corpus, policy, dedup_prefix=100).collect()) == 1
+    capped = G.build(corpus, policy, cap=7).collect()
+    assert sorted(r.message_id for r in capped) == sorted(r.message_id for r in whole)[:7]

@@ -124,6 +124,12 @@ def test_simple_policy_matches_inside_words(spark):
         ("nonsense", ("D", 0.3, "nonsense")),
         ('{"intent":"A"} {"intent":"A"}', ("D", 0.3, '{"intent":"A"} {"intent":"A"}')),
         ('{"intent":"A"},{"intent":"A"}', ("D", 0.3, '{"intent":"A"},{"intent":"A"}')),
+        ('{"intent":"D","confidence":0.1,"intent":"A","confidence":0.7}', ("A", 0.7, "")),
+        ('{"intent":"A","intent":"Z","other":{"intent":"A"}}', ("D", 0.5, "")),
+        ('{"intent":"A","confidence":NaN,"reasoning":"r"}', ("A", 0.5, "r")),
+        ('{"intent":"A","intent":"A"} {"intent":"A"}', ("D", 0.3, '{"intent":"A","intent":"A"} {"intent":"A"}')),
+        ('{"intent":"A","intent":"A"},{"intent":"A"}', ("D", 0.3, '{"intent":"A","intent":"A"},{"intent":"A"}')),
+        ('{"intent":"A","intent":"A"', ("D", 0.3, '{"intent":"A","intent":"A"')),
         ("{'intent':'A'}", ("D", 0.3, "{'intent':'A'}")),
         ("n" * 300, ("D", 0.3, "n" * 200)),
         (None, ("D", 0.3, "")),

@@ -16,16 +16,25 @@ def json_part(raw: Column) -> Column:
     return F.when(found == "", raw).otherwise(found)
 
 
-def parse_object(raw: Column) -> Column:
+FIELDS = ("intent", "confidence", "reasoning", *presets.SCORE_DIMENSIONS, "total", "overall_comment")
+
+
+def parse_object(raw: Column, names: Sequence[str] = FIELDS) -> Column:
     """The JSON object in ``raw`` as a one-element variant list; NULL if it is not exactly one.
 
-    The list brackets make the parser see trailing text, which it would otherwise ignore.
+    The list brackets make the parser see trailing text, which it would otherwise ignore. Variants
+    know neither repeated keys nor NaN; of objects with such only the fields ``names`` are read, the
+    last one of a name counts, and NaN is no number.
     """
     part = json_part(F.coalesce(raw, F.lit("")))
-    listed = F.try_parse_json(F.concat(F.lit("["), part, F.lit("]")))
+    text = F.concat(F.lit("["), part, F.lit("]"))
+    listed = F.try_parse_json(text)
     single = F.try_variant_get(listed, "$[1]", "variant").isNull()
-    is_object = F.startswith(part, F.lit("{"))
-    return F.when(is_object & single, listed)
+    fields = ", ".join(f"{n} string" for n in names)
+    loose = F.from_json(text, f"array<struct<{fields}>>", {"allowSingleQuotes": "false"})
+    again = F.when(F.size(loose) == 1, F.try_parse_json(F.to_json(loose)))
+    found = F.when(listed.isNotNull(), F.when(single, listed)).otherwise(again)
+    return F.when(F.startswith(part, F.lit("{")), found)
 
 
 def field(parsed: Column, name: str, kind: str = "string") -> Column:

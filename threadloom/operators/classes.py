@@ -10,6 +10,7 @@ from threadloom.functions import keywords as K
 from threadloom.functions import text as T
 from threadloom.operators.binding import evaluate_once
 from threadloom.operators.ranking import top_n_per_group
+from threadloom.sources.tables import stage
 
 
 # with more searches in one generated method, the JVM no longer compiles it
@@ -66,7 +67,9 @@ def majority_class(df: DataFrame, column: str) -> DataFrame:
 
 
 def predict_majority(df: DataFrame, column: str, label: str = "pred_intent") -> DataFrame:
-    """Add the majority class as the prediction for every row, and ``auto`` as the decision."""
+    """Add the majority class as the prediction for every row, and ``auto`` as the decision. The rows
+    are staged, so that the classes are worked out once."""
+    df = stage(df, "majority")
     winner = majority_class(df, column).select(column).scalar()
     return df.withColumn(label, winner).withColumn("pred_decision", F.lit(presets.AUTO))
 

@@ -21,10 +21,9 @@ def scored_rows(rows: DataFrame, gold: str = "gold_intent") -> DataFrame:
     return rows.where(~F.col(gold).isin(list(NOT_SCORED)))
 
 
-def labelled_or_all(
-    rows: DataFrame, labelled: Column, minimum: int = presets.MIN_LABELLED
-) -> DataFrame:
-    """The labelled rows, or all rows if fewer than ``minimum`` are labelled."""
+def labelled_or_all(rows: DataFrame, labelled: Column, minimum: int) -> DataFrame:
+    """The labelled rows, or all rows if fewer than ``minimum`` are labelled, as the caller chooses:
+    0 for the labelled rows whatever their number."""
     known = F.coalesce(labelled, F.lit(False))
     count = rows.agg(F.count_if(known)).scalar()
     return rows.where(known | (count < minimum))

@@ -32,12 +32,15 @@ def draw_batches(
     tail: Sequence[str] = presets.TAIL_CLASSES,
     escalating: Sequence[str] = presets.ESCALATION_CLASSES,
     automatic: Sequence[str] = presets.AUTO_CLASSES,
+    dedup_prefix: int | None = None,
 ) -> DataFrame:
-    """``(row_id, label, batch, seq, prefix)``: the drawn rows, numbered in batch order.
+    """``(row_id, label, batch, seq, same)``: the drawn rows, numbered in batch order; ``same`` is
+    equal for texts that count as one, by default a digest of the whole text, or else its first
+    ``dedup_prefix`` characters.
 
     A row may be drawn by several batches. All batches are drawn in one pass: every row lists the
     batches it is a candidate for, and each task keeps only the best draws per batch and class.
-    Only ids and text prefixes take part.
+    Only ids and these keys take part.
     """
     own, whole = F.col(label), F.lit("")
     unclassified = own == presets.UNCLASSIFIED
@@ -84,9 +87,9 @@ def draw_batches(
     exploded = corpus.select(
         row_id,
         label,
-        T.truncate(F.col(text), presets.DEDUP_PREFIX).alias("prefix"),
+        text_key(F.col(text), dedup_prefix).alias("same"),
         F.explode(candidates).alias("c"),
-    ).select(row_id, label, "prefix", "c.*")
+    ).select(row_id, label, "same", "c.*")
     largest = max(total, presets.TAIL_QUOTA, hard, presets.ESCALATION_QUOTA, presets.AUTO_QUOTA)
     drawn = top_n_per_group(
         exploded, ["batch_order", "stratum"], [F.col("draw"), F.col(row_id)], largest
@@ -104,10 +107,15 @@ def draw_batches(
         "batch_order", F.desc_nulls_last(size_order), "place", "stratum", "draw", row_id
     )
     return chosen.select(
-        row_id, label, "batch", F.row_number().over(order).alias("seq"), "prefix"
+        row_id, label, "batch", F.row_number().over(order).alias("seq"), "same"
     )
 
 
+def text_key(text: Column, prefix: int | None = None) -> Column:
+    """Equal for equal texts, or, with ``prefix``, for texts that begin alike."""
+    return F.md5(text) if prefix is None else T.truncate(text, prefix)
+
+
 def drop_near_duplicates(rows: DataFrame, key: str, order: str) -> DataFrame:
     """Keep the first row by ``order`` of every ``key``; a task forwards one row per key."""
     return best_per_group(rows, [key], [F.col(order)])
@@ -120,19 +128,20 @@ def build(
     text: str = "customer_text",
     reply: str = "reply_text",
     label: str = "intent_seed",
-    cap: int = presets.GOLDEN_CAP,
+    cap: int | None = None,
     **batches,
 ) -> DataFrame:
-    """The evaluation set: drawn batches without near duplicates, at most ``cap`` rows.
+    """The evaluation set: drawn batches without copies, the first ``cap`` rows if it is given.
 
     ``policy`` maps a class to its (decision, reason). Ids number the drawn rows before
-    near duplicates are dropped, so they have gaps.
+    copies are dropped, so they have gaps. ``dedup_prefix`` is handed to :func:`draw_batches`.
     """
     usable = corpus.where(T.is_mostly_ascii(F.col(text), presets.ASCII_SHARE_SAMPLING))
     drawn = draw_batches(usable, row_id, text, label, **batches)
-    kept = drop_near_duplicates(drawn, "prefix", "seq").orderBy("seq").limit(cap)
-    # at most ``cap`` rows, so they can be sent to the full texts instead of the reverse
-    picked = F.broadcast(kept.select(row_id, "seq", "batch"))
+    picked = drop_near_duplicates(drawn, "same", "seq").select(row_id, "seq", "batch")
+    if cap is not None:
+        # at most ``cap`` rows, so they can be sent to the full texts instead of the reverse
+        picked = F.broadcast(picked.orderBy("seq").limit(cap))
     rows = usable.select(row_id, text, reply, label).join(picked, row_id)
     own = F.col(label)
     decision = (

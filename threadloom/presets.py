@@ -25,9 +25,7 @@ ASCII_SHARE_SAMPLING = 0.6
 ASCII_SHARE_RELABEL = 0.65
 MAX_INBOUND_SHARE = 0.20
 MIN_OUTBOUND = 200
-VOCABULARY_TEXTS = 1000
 NOISE_CHARS = 20
-PROFILE_PREFIX = 500_000
 MIN_LABELLED = 10
 CONFIDENCE_SATURATION = 5
 FALLBACK_CONFIDENCE = 0.1

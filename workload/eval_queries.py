@@ -224,7 +224,7 @@ UNION ALL SELECT * FROM {_sql_baseline('keywords', 'scored')}
 
 def labelled_or_all(spark, sf):
     rows = _stored_rows(spark, sf)
-    many = E.labelled_or_all(rows, F.col("quality").isNotNull())
+    many = E.labelled_or_all(rows, F.col("quality").isNotNull(), presets.MIN_LABELLED)
     few = E.labelled_or_all(rows, F.col("quality").isNotNull(), minimum=10**9)
     counted = F.count(F.lit(1)).alias("n")
     return many.agg(F.lit("labelled").alias("case"), counted).unionByName(

@@ -263,7 +263,7 @@ rest AS (SELECT tweet_id, text FROM classified WHERE intent = 'UNCLASSIFIED'),
 def tfidf_by_class(spark, sf):
     docs = W.documents(spark, sf)
     return X.top_terms_by_class(
-        docs, "doc_id", F.col("text"), "lang", 10, W.STOP_WORDS
+        docs, "doc_id", F.col("text"), "lang", 10, W.STOP_WORDS, max_features=200
     ).select("lang", "rank", "term", "mean_weight")
 
 

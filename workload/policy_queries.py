@@ -311,9 +311,22 @@ def _drawn_from(spark, sf):
 
 
 def golden_batches(spark, sf):
+    """Texts that begin alike count as one, and at most 250 rows stay."""
+    rows = IO.stage(_drawn_from(spark, sf), "labelled")
+    return G.build(rows, W.POLICY, cap=presets.GOLDEN_CAP, dedup_prefix=presets.DEDUP_PREFIX)
+
+
+def golden_whole(spark, sf):
+    """Only equal texts count as one, and all drawn rows stay."""
     return G.build(IO.stage(_drawn_from(spark, sf), "labelled"), W.POLICY)
 
 
+def golden_capped(spark, sf):
+    """A cap that is reached."""
+    rows = IO.stage(_drawn_from(spark, sf), "labelled")
+    return G.build(rows, W.POLICY, cap=40, dedup_prefix=presets.DEDUP_PREFIX)
+
+
 def _sql_batches() -> str:
     def part(order, tag, stratum, place, seed, quota, where):
         return f"""
@@ -373,15 +386,27 @@ SELECT 'MSG_' || lpad(seq::VARCHAR, 4, '0') AS message_id, text AS input_text,
   'NEEDS_HUMAN_REVIEW' AS labelled_by
 FROM firsts WHERE copy = 1 ORDER BY seq LIMIT 250
 """
+GOLDEN_WHOLE = GOLDEN_BATCHES.replace("text[1:100]", "text").replace("LIMIT 250", "")
+GOLDEN_CAPPED = GOLDEN_BATCHES.replace("LIMIT 250", "LIMIT 40")
 
 
 def near_duplicates(spark, sf):
+    """The rule that texts with the same first 100 characters are one."""
     keyed = W.table(spark, sf, "documents").select(
-        "doc_id", T.truncate(F.col("text"), 100).alias("prefix")
+        "doc_id", G.text_key(F.col("text"), presets.DEDUP_PREFIX).alias("prefix")
     )
     return G.drop_near_duplicates(keyed, "prefix", "doc_id")
 
 
+def exact_duplicates(spark, sf):
+    """One document of each text, by the whole text."""
+    keyed = W.table(spark, sf, "documents").select("doc_id", G.text_key(F.col("text")).alias("same"))
+    return G.drop_near_duplicates(keyed, "same", "doc_id")
+
+
+EXACT_DUPLICATES = "SELECT min(doc_id) AS doc_id, md5(text) AS same FROM documents GROUP BY text"
+
+
 NEAR_DUPLICATES = (
     "SELECT min(doc_id) AS doc_id, text[1:100] AS prefix FROM documents GROUP BY text[1:100]"
 )
@@ -767,7 +792,10 @@ QUERIES = {
     "build_corpus": (build_corpus, BUILD_CORPUS),
     "corpus_report": (corpus_report, CORPUS_REPORT),
     "golden_batches": (golden_batches, GOLDEN_BATCHES),
+    "golden_whole": (golden_whole, GOLDEN_WHOLE),
+    "golden_capped": (golden_capped, GOLDEN_CAPPED),
     "near_duplicates": (near_duplicates, NEAR_DUPLICATES),
+    "exact_duplicates": (exact_duplicates, EXACT_DUPLICATES),
     "retrieval_agent": (retrieval_agent, RETRIEVAL_AGENT),
     "blind_sheet": (blind_sheet, BLIND_SHEET),
     "prompts": (prompts, PROMPTS),

@@ -238,7 +238,7 @@ ORDER BY n DESC, intent LIMIT 1
 
 
 def majority_predictions(spark, sf):
-    rows = C.predict_majority(_classified_turns(spark, sf), "intent")
+    rows = C.predict_majority(_classified_turns(spark, sf).select("conv_id", "turn", "intent"), "intent")
     return rows.select("conv_id", "turn", "pred_intent", "pred_decision")
 
 
