@@ -74,6 +74,20 @@ def test_ranks_match_brute_force(spark):
         assert abs(r["trust"] - trust[r["host"]]) < 1e-9 and abs(r["distrust"] - distrust[r["host"]]) < 1e-9
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark, monkeypatch):
+    rows = [(i, f"http://h{i}.org/", f'<a href="http://h{i + 1}.org/">') for i in range(1, 25)]
+    rows += [(25, "http://h25.org/", '<a href="http://bad.net/es/">'), (26, "http://bad.net/es/", None), (27, "http://lonely.org/", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(pages, tolerance=1e-2).collect()}
+    assert got == {i: "allow" if i == 27 else "block" for i in range(1, 28)}
+    monkeypatch.setattr(url_filter, "GUARD", 3)
+    with pytest.raises(RuntimeError):
+        url_filter.ranks(
+            spark.createDataFrame([("a", "b", 1)], "a string, b string, n long"),
+            spark.createDataFrame([("a", 1, 0)], "host string, good long, bad long"), damping=1.0, tolerance=-1.0,
+        )
+
+
 def test_audit_finds_what_was_damaged(spark):
     rows = [(i, f"http://x/{i}", "é" * (i % 50)) for i in range(700)] + [(700, None, None), (None, "u", "v")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
@@ -177,3 +191,22 @@ def test_clashing_names_and_score_stay(spark, fixture):
     got = corpus_pipeline.identify_language(spark, wide, "")
     assert got.columns == wide.columns and {r["score"] for r in got.select("score").collect()} == {3}
     assert language.UNKNOWN == "und" and re.fullmatch("und", language.UNKNOWN)
+
+
+def test_stages_keep_rows_without_an_id_of_their_own(spark):
+    long = " ".join(f"onth{j}" for j in range(60))
+    rows = [
+        (1, "the of and to eron", "en"), (None, "in is that it of", "en"), (2, "the and of is that onth", "en"),
+        (2, "that of the and to it in", "en"), (None, None, None), (None, long, "en"), (7, long, "en"),
+    ]
+    extra = [(*r, "a", 1, 2, "k", True, 3, 4, 5) for r in rows]
+    names = "doc_id long, text string, lang string, source string, _size int, _taken int, kept_text string, _gone boolean, _at int, _key int, _cut int"
+    docs = spark.createDataFrame(extra, names).withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    for name in ("near_duplicates", "repeats"):
+        got = dict(corpus_pipeline.STAGES)[name](spark, docs, "")
+        assert got.columns == docs.columns
+        texts = [r["text"] for r in got.collect()]
+        # only one of the two equal long texts goes, whole
+        assert sorted(map(str, texts)) == sorted(str(r[1]) for r in rows[:-1])
+    mixed = corpus_pipeline.mix_sources(spark, docs, "")
+    assert mixed.columns == docs.columns and {r["kept_text"] for r in mixed.select("kept_text").collect()} == {"k"}

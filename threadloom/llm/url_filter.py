@@ -8,8 +8,9 @@ host is blocked if its distrust exceeds ``threshold`` times its trust.
 Links are the ``href`` targets of the pages; a link without a host stays on its own host. They are
 summed per pair of hosts before they are shuffled, so that a host with a third of all pages sends
 one row per task and target. The rank tables are joined and summed in Spark, round by round, and
-written to the shared folder after each; only sums of all hosts reach the driver. Rounds end at
-``rounds`` or when no rank moves by more than ``tolerance`` in all.
+written to the shared folder after each; only sums of all hosts reach the driver. Rounds end when
+the ranks move by less than ``tolerance`` in all, some 90 rounds at the most with this damping, or
+after ``rounds`` if the caller sets them.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is
 allowed. Null html has no links. Hosts that neither seed reaches are allowed. Rows are judged one
@@ -18,6 +19,7 @@ by one, so repeated rows and null ids are kept. An empty table gives an empty ta
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +37,8 @@ RULES = (
 )
 DAMPING = 0.85
 THRESHOLD = 1.0
-ROUNDS = 20
+# ranks that have not settled by then never will
+GUARD = 1000
 TOLERANCE = 1e-6
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -77,7 +80,7 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def ranks(
-    links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE,
+    links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``(host, trust, distrust)`` from links ``(a, b, n)`` and seeds ``(host, good, bad)``.
 
@@ -99,7 +102,11 @@ def ranks(
         (F.coalesce("bad", F.lit(0)) / F.lit(float(bad or 1))).alias("bad"),
     )
     now = stage(start.withColumns({"trust": F.col("good"), "distrust": F.col("bad")}), "ranks")
-    for _ in range(rounds):
+    for turn in itertools.count(1):
+        if rounds is not None and turn > rounds:
+            break
+        if turn > GUARD:
+            raise RuntimeError(f"ranks still move after {GUARD} rounds; is the damping below 1?")
         ahead = links.join(now.select(F.col("host").alias("a"), "trust"), "a").select(
             F.col("b").alias("_host"), (F.col("trust") * F.col("down")).alias("t"), F.lit(0.0).alias("d")
         )
