@@ -13,7 +13,8 @@ repeat if its part occurs at a second place.
 
 Places go to the bucket of their hash as packed arrays and come back to that of their document. A task
 forwards one place per hash and run of texts: a passage that a third of all documents contain is
-known as repeated before it is sent, so its bucket gets one entry per run, not per occurrence.
+known as repeated before it is sent, so its bucket gets one entry per run, not per occurrence. What a
+run knows of its own texts goes to a bucket of its own, spread evenly over tasks and runs.
 
 Defined cases: rows without id take no part; of rows that share an id the one with the smallest
 text counts. Null or empty texts, or texts without words, have no words and an empty text left.
@@ -23,10 +24,12 @@ Texts shorter than a window lose nothing. An empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,26 +97,37 @@ def _known(docs, pos, bucket: int) -> Iterator[pa.RecordBatch]:
         )
 
 
+def own_buckets(task: int, count: int) -> Iterator[int]:
+    """A bucket for each run of texts of a task: one after another, from a start that steps through
+    the buckets by the golden section from task to task, so that no stretch of them is preferred."""
+    start = task * 0.6180339887498949 % 1 * count
+    return (int(start + run) % count for run in itertools.count())
+
+
+def _own_buckets(count: int) -> Iterator[int]:
+    return own_buckets(TaskContext.get().partitionId(), count)
+
+
 def _first_level(batches: Iterator, window: int, length: int, count: int) -> Iterator:
-    run = 0
+    own = _own_buckets(count)
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for texts in chunks(batch.column(1)):
-            run += 1
+            bucket = next(own)
             words = Words(texts)
             mine = ids[texts.first : texts.first + len(texts)].astype(np.int64)
             data, offsets = words.joined(np.ones(len(words), bool))
             sha = b"".join(hashlib.sha256(data[a:b]).digest() for a, b in zip(offsets, offsets[1:]))
             yield table_of(
-                {"kind": [DOCUMENTS], "bucket": [run % count], "doc": [mine.tobytes()],
+                {"kind": [DOCUMENTS], "bucket": [bucket], "doc": [mine.tobytes()],
                  "words": [words.count.astype(np.int64).tobytes()], "sha": [sha]}, _PACKED,
             )
             _, part, part_hashes = parts(words, words.hashes(lower=False), window, length)
             at = np.unique(part)
-            yield from _repeated_or_sent(words, mine, at, part_hashes[at], run, count)
+            yield from _repeated_or_sent(words, mine, at, part_hashes[at], bucket, count)
 
 
-def _repeated_or_sent(words: Words, mine, at, hashes, run: int, count: int) -> Iterator:
+def _repeated_or_sent(words: Words, mine, at, hashes, bucket: int, count: int) -> Iterator:
     """Places with a hash that this run of texts has twice are known as repeated; one of each
     goes out all the same, marked as many, for the runs that have it once."""
     order = np.argsort(hashes, kind="stable")
@@ -123,7 +137,7 @@ def _repeated_or_sent(words: Words, mine, at, hashes, run: int, count: int) -> I
     group = np.cumsum(first) - 1
     many = np.bincount(group, minlength=1)[group] > 1 if len(at) else np.zeros(0, bool)
     docs, pos = mine[words.text[at]], (at - words.first[words.text[at]]).astype(np.int32)
-    yield from _known(docs[many], pos[many], run % count)
+    yield from _known(docs[many], pos[many], bucket)
     # a stable sort keeps places in order, so what goes out is in order of document per bucket
     back = np.sort(np.flatnonzero(first))
     yield from _exchange(hashes[back], docs[back], pos[back], many[back].astype(np.uint8), count)
@@ -131,12 +145,12 @@ def _repeated_or_sent(words: Words, mine, at, hashes, run: int, count: int) -> I
 
 def _level(batches: Iterator, window: int, length: int, count: int) -> Iterator:
     """A later level: candidate windows are those whose part of half the length was repeated."""
-    run = 0
+    own = _own_buckets(count)
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         found = batch.column(2)
         for texts in chunks(batch.column(1)):
-            run += 1
+            bucket = next(own)
             words = Words(texts)
             mine = ids[texts.first : texts.first + len(texts)].astype(np.int64)
             hashes = words.hashes(lower=False)
@@ -149,13 +163,13 @@ def _level(batches: Iterator, window: int, length: int, count: int) -> Iterator:
             if length < window:
                 _, part, part_hashes = parts(words, hashes, window, length)
                 at = np.unique(part[np.isin(np.flatnonzero(words.inside(window)), starts)])
-                yield from _repeated_or_sent(words, mine, at, part_hashes[at], run, count)
+                yield from _repeated_or_sent(words, mine, at, part_hashes[at], bucket, count)
             else:
                 whole = window_hashes(hashes, window)[starts]
-                yield from _first_or_known(words, mine, starts, whole, run, count)
+                yield from _first_or_known(words, mine, starts, whole, bucket, count)
 
 
-def _first_or_known(words: Words, mine, at, hashes, run: int, count: int) -> Iterator:
+def _first_or_known(words: Words, mine, at, hashes, bucket: int, count: int) -> Iterator:
     """Of the windows with one hash in this run of texts, the first may be the first of all; the
     others are known to be preceded."""
     docs, pos = mine[words.text[at]], (at - words.first[words.text[at]]).astype(np.int32)
@@ -164,7 +178,7 @@ def _first_or_known(words: Words, mine, at, hashes, run: int, count: int) -> Ite
     first = np.ones(len(order), bool)
     first[1:] = hashes[1:] != hashes[:-1]
     rest = np.lexsort((pos[~first], docs[~first]))
-    yield from _known(docs[~first][rest], pos[~first][rest], run % count)
+    yield from _known(docs[~first][rest], pos[~first][rest], bucket)
     send = np.flatnonzero(first)
     send = send[np.lexsort((pos[send], docs[send]))]
     yield from _exchange(hashes[send], docs[send], pos[send], np.zeros(len(send), np.uint8), count)
