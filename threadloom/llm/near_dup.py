@@ -11,8 +11,9 @@
    Every linked pair that shares a bucket and is estimated at 0.6 or more lies within one: one
    minus the estimate is a metric, so if one of the two is covered, both are near the smallest id,
    and if none is, they meet.
-3. *Links.* The full sets of a family are compared exactly, in tiles of at most ``TILE`` by
-   ``TILE`` documents, each tile a task of its own. A tile returns a spanning forest of its links,
+3. *Links.* The full sets of a family are compared exactly, in tiles of about ``TILE`` by
+   ``TILE`` documents, or fewer where these have more than ``TILE_SHINGLES`` shingles, each tile a
+   task of its own. A tile returns a spanning forest of its links,
    so that families of many near copies yield no pairs beyond their number of documents.
 4. *Groups.* Connected components of these links, by rounds in Spark.
 
@@ -43,6 +44,7 @@ WORDS64 = SLOTS // 64 * BITS
 NEAR = 0.45
 COVERED = 0.85
 TILE = 512
+TILE_SHINGLES = 1 << 20
 
 _rng = np.random.default_rng(77)
 _MULTIPLY = _rng.integers(1, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -245,7 +247,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Intersection sizes of every set on the left with every set on the right."""
     lx, rx = np.concatenate(left), np.concatenate(right)
     column = np.intersect1d(lx, rx)
-    out = np.zeros((len(left), len(right)), np.float32)
+    out = np.zeros((len(left), len(right)), np.int64)
     if not len(column):
         return out
     at_l, at_r = np.searchsorted(column, lx), np.searchsorted(column, rx)
@@ -262,7 +264,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
         a[row_l[use], at_l[use] - low] = 1
         use = (at_r >= low) & (at_r < low + width)
         b[row_r[use], at_r[use] - low] = 1
-        out += a @ b.T
+        out += (a @ b.T).astype(np.int64)  # a part has at most 2**22 columns, so floats are exact
     return out
 
 
@@ -272,8 +274,7 @@ def linked(sets: list[np.ndarray], block: np.ndarray, percent: int) -> tuple[lis
     sizes = np.array([len(s) for s in sets], np.int64)
     left = np.flatnonzero(block == block.min())
     right = np.flatnonzero(block == block.max())
-    # 32-bit floats count exactly up to 2**24 shingles
-    common = _overlaps([sets[i] for i in left], [sets[i] for i in right]).astype(np.int64)
+    common = _overlaps([sets[i] for i in left], [sets[i] for i in right])
     union = sizes[left][:, None] + sizes[right][None, :] - common
     rows, columns = np.nonzero(100 * common >= percent * union)
     return forest(left[rows], right[columns], len(sets))
@@ -286,10 +287,15 @@ def _tile(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": ids.take(pa.array(a, pa.int64())), "b": ids.take(pa.array(b, pa.int64()))})
 
 
-def links(docs: DataFrame, family: DataFrame, width: int, percent: int, tile: int = TILE) -> DataFrame:
-    """Links ``(a, b)`` that connect the same documents as all links within the families do."""
-    sized = family.groupBy("component").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "blocks", F.ceil(F.col("n") / tile).cast("int")
+def links(
+    docs: DataFrame, family: DataFrame, width: int, percent: int, tile: int = TILE, tile_shingles: int = TILE_SHINGLES,
+) -> DataFrame:
+    """Links ``(a, b)`` that connect the same documents as all links within the families do.
+
+    ``family`` has columns ``id``, ``component`` and ``n_shingles``."""
+    # blocks bounded in documents and in shingles, so that a tile of long texts fits a task too
+    sized = family.groupBy("component").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("n_shingles") / tile_shingles)).cast("int").alias("blocks")
     )
     members = family.join(sized, "component").withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -331,7 +337,8 @@ def near_duplicates(
         ),
         "sets-of",
     )
-    found = links(docs, families(folded, near), width, percent, tile)
+    sizes = folded.select(F.col("doc_id").alias("id"), "n_shingles")
+    found = links(docs, families(folded, near).join(sizes, "id"), width, percent, tile)
     groups = components(stage(found, "links"), "groups")
     representative = folded.select("d1", "d2", "n_shingles", F.col("doc_id").alias("id")).join(groups, "id", "left")
     labelled = sketch.select("doc_id", "n_shingles", "d1", "d2").join(
