@@ -29,7 +29,7 @@ def _whole(x: np.ndarray, scale: int) -> np.ndarray:
 
 
 def _tile(q_ids, q, ids, v, k: int, scale: int):
-    q, v = _whole(q, scale), _whole(v, scale)
+    q = _whole(q, scale)
     if np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * q.shape[1] < 2.0**53:
         scores = (q @ v.T).astype(np.int64)
     else:
@@ -40,8 +40,9 @@ def _tile(q_ids, q, ids, v, k: int, scale: int):
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, **sizes) -> DataFrame:
     """``(query_id, rank, vec_id, score)``; ``is_query`` is a condition on ``vec_id``."""
+    whole = functools.partial(_whole, scale=scale)
     tile = functools.partial(_tile, k=k, scale=scale)
-    return tiles.search(tiles.usable(vectors), is_query, tile, k, "bigint", **sizes)
+    return tiles.search(tiles.usable(vectors), is_query, whole, tile, k, "bigint", **sizes)
 
 
 SQL = """

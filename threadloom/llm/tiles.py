@@ -75,13 +75,14 @@ def pack(vectors: DataFrame, rows: int) -> DataFrame:
 
 
 def search(
-    vectors: DataFrame, is_query: Column, tile: Callable, k: int, score: str,
+    vectors: DataFrame, is_query: Column, prepare: Callable, tile: Callable, k: int, score: str,
     shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` of the best ``k`` per query, ties to the smaller id.
 
-    ``tile(query_ids, queries, ids, vectors)`` returns three arrays: query ids, ids and scores, at
-    most a few more than ``k`` per query, and never a query with itself.
+    ``prepare(vectors)`` makes of a shard what its tiles share, once for all blocks that meet it in
+    a task. ``tile(query_ids, queries, ids, prepared)`` returns three arrays: query ids, ids and
+    scores, at most a few more than ``k`` per query, and never a query with itself.
     """
     # a shard gets its number in the task that packs it
     shards = stage(pack(vectors, shard_rows).withColumn("shard", F.monotonically_increasing_id()), "shards")
@@ -93,11 +94,12 @@ def search(
     sent = packed.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data")).join(
         F.broadcast(shards.select("dim", "shard")), "dim"
     )
+    # a merge join leaves the tiles of a shard one after another
     tiles = sent.join(
-        shards.select("shard", F.col("ids").alias("v_ids"), F.col("data").alias("v_data")), "shard"
-    ).select("dim", "q_ids", "q_data", "v_ids", "v_data")
+        shards.select("shard", F.col("ids").alias("v_ids"), F.col("data").alias("v_data")).hint("merge"), "shard"
+    ).select("shard", "dim", "q_ids", "q_data", "v_ids", "v_data")
 
-    found = arrow_map(tiles, _run, FOUND_SQL.format(score=score), tile=tile, kind=score)
+    found = arrow_map(tiles, _run, FOUND_SQL.format(score=score), prepare=prepare, tile=tile, kind=score)
     order = [F.col("score").desc(), F.col("vec_id")]
     lane = Window.partitionBy("query_id", "_lane").orderBy(*order)
     # merging as a tree: at most LANES * k rows of a query meet in the last step
@@ -112,16 +114,19 @@ def search(
     )
 
 
-def _run(batches: Iterator, tile: Callable, kind: str) -> Iterator:
+def _run(batches: Iterator, prepare: Callable, tile: Callable, kind: str) -> Iterator:
     value = pa.int64() if kind == "bigint" else pa.float64()
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", value)])
+    last, prepared = None, None
     for batch in batches:
         for row in batch.to_pylist():
             dim = row["dim"]
             q_ids, v_ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["v_ids"], np.int64)
             q = np.frombuffer(row["q_data"], np.float64).reshape(-1, dim)
             v = np.frombuffer(row["v_data"], np.float64).reshape(-1, dim)
-            a, b, scores = tile(q_ids, q, v_ids, v)
+            if prepared is None or row["shard"] != last:
+                last, prepared = row["shard"], prepare(v)
+            a, b, scores = tile(q_ids, q, v_ids, prepared)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(scores, value)], schema=schema)
 
 

@@ -5,7 +5,8 @@ and gives queries 0, so that the largest product is the smallest Euclidean dista
 triangle inequality holds. A tree splits its vectors at the median distance from a vantage point.
 A query at distance ``d`` from it skips the ball of radius ``r`` if ``d - factor * t > r`` and the
 rest if ``d + factor * t < r``, where ``t`` is its distance to the k-th best found so far; with
-factor 1 nothing is lost, a smaller one skips more. All queries of a block walk the tree together.
+factor 1 nothing is lost, a smaller one skips more. All queries of a block walk the tree together,
+and a shard's tree is built once for all blocks that meet it in a task.
 
 Every vector is in a tree; nothing is sampled. Scores are inner products of the original vectors
 in doubles.
@@ -44,6 +45,7 @@ class VantageTree:
         self.root = self._build(0, len(vectors))
         self.points = self.points[self.order]
         self.vectors = vectors[self.order]
+        self.place = np.argsort(self.order)
 
     def _build(self, a: int, b: int):
         if b - a <= self.leaf:
@@ -106,9 +108,9 @@ class VantageTree:
         self.best[who], self.where[who] = best, where
 
 
-def _tile(q_ids, q, ids, v, k: int, factor: float, leaf: int):
-    rows, places, _ = VantageTree(v, leaf).search(q_ids, q, ids, k, factor)
-    scores = np.einsum("ij,ij->i", q[rows], v[places])
+def _tile(q_ids, q, ids, tree: VantageTree, k: int, factor: float):
+    rows, places, _ = tree.search(q_ids, q, ids, k, factor)
+    scores = np.einsum("ij,ij->i", q[rows], tree.vectors[tree.place[places]])
     return q_ids[rows], ids[places], scores
 
 
@@ -119,5 +121,6 @@ def nearest(
     if not 0 < factor <= 1:
         raise ValueError("the factor is above 0 and at most 1")
     rows = tiles.usable(vectors).where(F.exists("vector", lambda x: x != 0))
-    tile = functools.partial(_tile, k=k, factor=factor, leaf=leaf)
-    return tiles.search(rows, is_query, tile, k, "double", **sizes)
+    build = functools.partial(VantageTree, leaf=leaf)
+    tile = functools.partial(_tile, k=k, factor=factor)
+    return tiles.search(rows, is_query, build, tile, k, "double", **sizes)
