@@ -36,6 +36,16 @@ def identified(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return best.select(key, "_row.*").select(*docs.columns)
 
 
+def keyed(docs: DataFrame, name: str, key: str = "doc_id") -> DataFrame:
+    """The rows with a long column ``name`` that differs in every one: the id where ids are unique
+    and not null (a check that reads the ids alone), else a number written beside a copy of the rows,
+    so that a task that runs again finds the same one."""
+    twice = docs.select(key).groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull())
+    if twice.isEmpty():
+        return docs.withColumn(name, F.col(key).cast("long"))
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), "keyed")
+
+
 def packed(bucket: np.ndarray, count: int, columns: dict[str, np.ndarray]) -> dict[str, list]:
     """Rows cut by bucket: for each bucket that has any, the bytes of its part of each column."""
     order = np.argsort(bucket, kind="stable")
