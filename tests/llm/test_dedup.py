@@ -1,9 +1,12 @@
 """Near duplicates and repeated windows against brute force."""
 
+import collections
 import hashlib
+import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from threadloom.llm import near_dup, repeats, shared
@@ -86,6 +89,22 @@ def test_tiles_of_a_bucket(spark):
         assert got == {i: i % 3 for i in range(40)}
 
 
+def test_tiles_of_long_texts_and_exact_sums(spark):
+    rng = random.Random(8)
+    long = [f"w{rng.randint(0, 10**6)}" for _ in range(900)]
+    rows = []
+    for i in range(30):
+        words = list(long)
+        words[rng.randrange(900)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    family = spark.createDataFrame([(i, 0, 897) for i, _ in rows], "id long, component long, n_shingles long")
+    found = near_dup.links(docs, family, 4, 80, tile_shingles=4000)  # 7 blocks of about four texts
+    assert {r["component"] for r in shared.components(found).collect()} == {0}
+    sets = [np.arange(0, 3_000_000, dtype=np.uint64), np.arange(1, 3_000_002, dtype=np.uint64)]
+    assert near_dup._overlaps(sets, sets).tolist() == [[3_000_000, 2_999_999], [2_999_999, 3_000_001]]
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F"), (None, "a b c d e f"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -142,6 +161,14 @@ def test_repeats_match_brute_force(spark, window, start):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"], r["kept_text"]) for r in got} == removed(rows, window)
 
 
+def test_buckets_of_runs_are_spread():
+    for tasks, runs, count in ((24, 64, 200), (32, 7, 51), (1000, 64, 900), (211, 1, 211)):
+        counts = collections.Counter()
+        for task in range(tasks):
+            counts.update(itertools.islice(repeats.own_buckets(task, count), runs))
+        assert max(counts.values()) <= 2 * max(1, tasks * runs / count)
+
+
 def test_window_must_be_a_doubling():
     with pytest.raises(ValueError, match="doubled"):
         repeats.remove_repeats(None, 20, 7)

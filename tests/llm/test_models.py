@@ -98,6 +98,21 @@ def test_scores(corpus):
     assert score > base + 0.05 * abs(base)
 
 
+def test_rows_without_id_and_shared_ids(spark):
+    one, two = [i for i in range(1, 30) if crc(i, 7) != 2][:2]
+    rows = [(one, "a b"), (None, "a c d"), (two, "a"), (two, "x y z"), (two, "x y z"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_tree.score_texts(docs, **SETTINGS).collect()
+    counts = collections.Counter(w for _, text in rows for w in [*tokens(text), None])
+    n, v = sum(counts.values()), len(counts)
+    want = sorted(
+        (str(i), len(tokens(t)) + 1, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in [*tokens(t), None])) for i, t in rows
+    )
+    for r, (i, size, base) in zip(sorted(got, key=lambda r: (str(r["doc_id"]), r["n_tokens"], r["base_score"])), want, strict=True):
+        assert (str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (i, size, size, n, False)
+        assert abs(r["base_score"] - base) < 1e-9
+
+
 def test_every_node_is_a_distribution(corpus):
     rows, docs = corpus
     train = docs.selectExpr("text", "true as train")

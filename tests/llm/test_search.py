@@ -1,6 +1,9 @@
 """Exact and tree search against brute force."""
 
+import functools
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +95,28 @@ def test_a_smaller_factor_visits_fewer_and_finds_most():
     assert len(seen[0.6][1] & seen[1.0][1]) >= 0.9 * len(seen[1.0][1])
 
 
+def test_a_tree_serves_all_blocks_of_its_shard():
+    data, built = np.random.default_rng(5).normal(size=(300, 4)), []
+
+    def build(v):
+        built.append(len(v))
+        return tree_search.VantageTree(v, 16)
+
+    def row(shard, low, high, q):
+        return {"shard": shard, "dim": 4, "q_ids": np.array([q]).tobytes(), "q_data": data[q].tobytes(),
+                "v_ids": np.arange(low, high).tobytes(), "v_data": data[low:high].tobytes()}
+
+    rows = [row(7, 0, 200, q) for q in range(5)] + [row(9, 200, 300, q) for q in range(5)]
+    batches = [pa.RecordBatch.from_pylist(rows[:3]), pa.RecordBatch.from_pylist(rows[3:])]
+    tile = functools.partial(tree_search._tile, k=3, factor=1.0)
+    out = list(tiles._run(iter(batches), build, tile, "double"))
+    assert built == [200, 100]
+    for batch, r in zip(out, rows):
+        q, (low, high) = int(np.frombuffer(r["q_ids"], np.int64)[0]), (0, 200) if r["shard"] == 7 else (200, 300)
+        order = sorted((i for i in range(low, high) if i != q), key=lambda i: -float(data[q] @ data[i]))[:3]
+        assert sorted(batch.column("vec_id").to_pylist()) == sorted(order)
+
+
 def test_no_matrix_passes_a_single_task(spark):
     data, ids = np.random.default_rng(3).normal(size=(60, 4)), range(60)
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, data)], "vec_id long, embedding array<double>")
