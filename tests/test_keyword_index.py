@@ -46,3 +46,22 @@ def test_no_words_and_no_texts(spark):
     assert X.scores(df, "id", F.col("t"), table.limit(0)).count() == 0
     assert X.scores(df.limit(0), "id", F.col("t"), table).count() == 0
     assert X.best_classes(df, "id", F.col("t"), table.limit(0), "none").collect() == [(1, "none", 0)]
+
+
+def test_equal_pieces_are_looked_through_once(spark, monkeypatch):
+    """Many texts of few words: places are made for the different words, not for the texts."""
+    seen, grams = [], X._grams
+
+    def counted(*args):
+        out = grams(*args)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(X, "_grams", counted)
+    df = spark.range(300).select("id", F.concat_ws(" ", F.lit("order\tstatus"), F.lit("reorders\nnow"), F.col("id") % 5).alias("t"))
+    table = X.keyword_table(spark, {"a": ["order", "tus", "now 3"], "b": ["no", "reorder"]})
+    got = {(r.row_id, r.word) for r in X.found_words(df, "id", F.col("t"), table.where("word != 'now 3'")).collect()}
+    assert got == {(i, w) for i in range(300) for w in ("order", "tus", "no", "reorder")}
+    assert sum(seen) < 100
+    got = {r.row_id for r in X.found_words(df, "id", F.col("t"), table).where("word = 'now 3'").collect()}
+    assert got == {i for i in range(300) if i % 5 == 3}

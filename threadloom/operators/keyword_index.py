@@ -4,8 +4,10 @@
 hundred words that are part of the program. Here words are rows. Each word is indexed by one of its
 grams, the one that fewest words share, and a text looks up its own grams. What is found is compared
 with the text around the gram, so the cost follows the text and the words found, not the number of
-words. Small tables are broadcast by the optimiser, others meet the grams by shuffle; no text is
-shuffled.
+words. Words without white space lie between two white spaces, so they are looked for once in every
+different piece of the texts, and texts meet what was found there by their pieces; only words with
+white space are looked for in whole texts. Small tables are broadcast by the optimiser, others meet
+by shuffle.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ from threadloom.functions.text import WORD
 from threadloom.sources.tables import stage
 
 GRAM = 4
-# texts are cut into stretches of so many characters, as places in a long string are slow to reach
-STRETCH = 512
+# texts are cut into stretches of so many characters, as a place in a string is reached from its start
+STRETCH = 64
 _EDGE = "\x00"
+_GAPS = "[ \t\n\r]"
 
 
 def keyword_table(spark: SparkSession, classes: Classes) -> DataFrame:
@@ -56,17 +59,14 @@ def _grams(df: DataFrame, row_id: str, text: Column, lengths: list[int], radius:
     )
     places = stretch.select("row_id", "_text", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_at"))
     around = places.select("row_id", F.substr("_text", F.col("_at"), F.lit(2 * radius)).alias("around"))
-    grams = F.array_distinct(F.array(*[F.substring("around", radius + 1, n) for n in lengths]))
+    grams = F.array(*[F.substring("around", radius + 1, n) for n in lengths])
     return around.select("row_id", "around", F.explode(grams).alias("gram"))
 
 
-def found_words(
-    df: DataFrame, row_id: str, text: Column, keywords: DataFrame, boundary: bool = False, gram: int = GRAM
+def _searched(
+    df: DataFrame, row_id: str, text: Column, keywords: DataFrame, boundary: bool, gram: int
 ) -> DataFrame:
-    """``(row_id, word)``: the words of the table that occur in each row's text, once per row.
-
-    With ``boundary`` a word counts only between characters that are not word characters.
-    """
+    """``(row_id, word)``, once per row: whole texts are looked through, place by place."""
     index = stage(gram_index(keywords, gram), "gram-index")
     # the lengths of grams, at most ``gram`` of them, and the longest word
     lengths = sorted(r[0] for r in index.select(F.char_length("gram")).distinct().collect())
@@ -82,6 +82,27 @@ def found_words(
     return met.where(here).select("row_id", "word").distinct()
 
 
+def found_words(
+    df: DataFrame, row_id: str, text: Column, keywords: DataFrame, boundary: bool = False, gram: int = GRAM
+) -> DataFrame:
+    """``(row_id, word)``: the words of the table that occur in each row's text, once per row.
+
+    With ``boundary`` a word counts only between characters that are not word characters.
+    """
+    gaps = F.col("word").rlike(_GAPS)
+    pieces = df.select(
+        F.col(row_id).alias("row_id"), F.explode(F.array_distinct(F.split(text, _GAPS + "+"))).alias("piece")
+    ).where("piece != ''")
+    known = _searched(
+        pieces.select("piece").distinct(), "piece", F.col("piece"), keywords.where(~gaps), boundary, gram
+    ).groupBy(F.col("row_id").alias("piece")).agg(F.collect_list("word").alias("words"))
+    found = pieces.join(stage(known, "pieces"), "piece").select("row_id", F.explode("words").alias("word")).distinct()
+    spaced = keywords.where(gaps)
+    if spaced.isEmpty():
+        return found
+    return found.unionByName(_searched(df, row_id, text, spaced, boundary, gram))
+
+
 def scores(
     df: DataFrame, row_id: str, text: Column, keywords: DataFrame, boundary: bool = False, gram: int = GRAM
 ) -> DataFrame:
