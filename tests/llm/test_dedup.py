@@ -172,3 +172,24 @@ def test_buckets_of_runs_are_spread():
 def test_window_must_be_a_doubling():
     with pytest.raises(ValueError, match="doubled"):
         repeats.remove_repeats(None, 20, 7)
+
+
+def test_shingles_are_taken_from_small_runs_of_texts(monkeypatch):
+    """A worker's arrays are some 30 times the bytes of a run of texts."""
+    import pyarrow as pa
+
+    from threadloom.llm import near_dup
+
+    sizes, words = [], near_dup.Words
+
+    def counted(texts):
+        sizes.append(len(texts.data))
+        return words(texts)
+
+    monkeypatch.setattr(near_dup, "Words", counted)
+    text = "one two three four five six seven " * 100
+    ids, texts = pa.array(range(400)), pa.array([text] * 400)
+    rows = list(near_dup._sketch([pa.RecordBatch.from_arrays([ids, texts], names=["doc_id", "text"])], 4))
+    sets = list(near_dup._sets([pa.RecordBatch.from_arrays([texts, ids], names=["text", "id"])], 4))
+    assert sum(b.num_rows for b in rows) == sum(b.num_rows for b in sets) == 400
+    assert sum(sizes) == 2 * 400 * len(text) and max(sizes) <= 1 << 18

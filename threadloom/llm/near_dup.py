@@ -45,6 +45,8 @@ NEAR = 0.45
 COVERED = 0.85
 TILE = 512
 TILE_SHINGLES = 1 << 20
+# a worker takes the shingles of texts of about so many bytes at a time: some 30 bytes for each of them
+CHUNK = 1 << 18
 
 _rng = np.random.default_rng(77)
 _MULTIPLY = _rng.integers(1, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,7 +110,7 @@ _SKETCH_SQL = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bits arra
 def _sketch(batches: Iterator, width: int) -> Iterator:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for texts in chunks(batch.column(1)):
+        for texts in chunks(batch.column(1), CHUNK):
             values, first = shingles(Words(texts), width)
             count = np.diff(first)
             mine = ids[texts.first : texts.first + len(texts)]
@@ -235,7 +237,7 @@ def families(signatures: DataFrame, near: float = NEAR, tile: int = TILE) -> Dat
 
 def _sets(batches: Iterator, width: int) -> Iterator:
     for batch in batches:
-        for texts in chunks(batch.column(0)):
+        for texts in chunks(batch.column(0), CHUNK):
             values, first = shingles(Words(texts), width)
             rows = [batch.column(i).slice(texts.first, len(texts)) for i in range(1, batch.num_columns)]
             data = values.tobytes()
