@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from threadloom.llm import near_dup, repeats, shared
+from threadloom.sources.tables import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -118,6 +119,22 @@ def test_empty_tables(spark):
     assert repeats.remove_repeats(docs).count() == 0
 
 
+def test_dense_group_brings_few_links_to_the_rounds(spark, monkeypatch):
+    # 300 ids that each meet the same 30, as near copies meet the smallest ids of their buckets
+    edges = spark.createDataFrame([(a, b) for a in range(30) for b in range(100, 400)], "a long, b long")
+    staged = {}
+
+    def kept(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(shared, "stage", kept)
+    got = {r["id"]: r["component"] for r in shared.components(edges, "dense").collect()}
+    assert got == {i: 0 for i in [*range(30), *range(100, 400)]}
+    # 18,000 before: all links, in both directions
+    assert staged["dense-links"].count() == 2 * 329
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
