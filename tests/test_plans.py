@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from threadloom.operators import classes as C
+from threadloom.operators import grounding as G
 from threadloom.operators import threads as H
 from threadloom.operators.sampling import sample_per_stratum
 from threadloom.sources import tables as IO
-from workload import catalog
+from workload import catalog, eval_queries
 from workload import common as W
 
 SF = "/root/testdata/sf0.001"
@@ -26,6 +27,17 @@ def test_no_cross_join_and_no_python_expression(spark, name):
         assert word not in text
 
 
+def test_texts_are_cleaned_once_for_two_classifiers(spark):
+    # once for all of _rows: three patterns, then the gaps
+    assert plan(eval_queries._rows(spark, SF)).count("regexp_replace(") == 4
+
+
+def test_words_of_a_draft_are_taken_once(spark):
+    rows = spark.createDataFrame([("ab cd", "cd")], "d string, r string")
+    text = plan(G.groundedness(rows, F.col("d"), F.col("r")).select("groundedness"))
+    assert text.count("regexp_replace(") == 2  # draft and references
+
+
 @pytest.fixture(scope="module")
 def messages(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("m") / "messages")

@@ -148,3 +148,19 @@ def test_steps_keep_every_keyword():
     steps = K.in_steps(classes, 3)
     assert [sum(len(w) for _, w in s) for s in steps] == [3, 3, 1]
     assert [x for s in steps for _, w in s for x in w] == list("abcdefg")
+
+
+def test_cleaning_is_that_of_the_plain_patterns(spark):
+    texts = [
+        "", "...", "a", "Hh http https://x.y/z?q=#t @me#you ##a @@b #_1 @", "hhttp://a b", "É#É@É é", "#a@b#c http@x#y z",
+        "  A--B\u00a0C\n\t1 2\u3000", "h@#", "x" * 50 + "@y" + "!" * 50, None,
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.lower(F.coalesce("t", F.lit("")))
+    once = F.regexp_replace(plain, f"{T.URL}|{T.MENTION}|{T.HASHTAG}", "")
+    each = plain
+    for pattern in (T.URL, T.MENTION, T.HASHTAG):
+        each = F.regexp_replace(each, pattern, "")
+    trimmed = [F.trim(F.regexp_replace(c, "[^a-z0-9]+", " ")) for c in (once, each)]
+    got = rows.select(T.clean(F.col("t"), True).alias("a"), T.clean(F.col("t")).alias("b"), *trimmed).collect()
+    assert [(r[0], r[1]) for r in got] == [(r[2], r[3]) for r in got]

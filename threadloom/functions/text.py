@@ -8,6 +8,7 @@ space includes the no-break and ideographic spaces.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from string import ascii_lowercase, digits
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +21,11 @@ NON_SPACE = f"[^{SPACE_CHARS}]"
 URL = f"http{NON_SPACE}+"
 MENTION = f"@{WORD}+"
 HASHTAG = f"#{WORD}+"
+# any of the three; the look at its first character spares most places the alternatives
+TAGS = f"(?=[h@#])(?:{URL}|{MENTION}|{HASHTAG})"
+# a run of anything outside [a-z0-9]: characters listed one by one are looked up in a table, ranges
+# are compared; nothing follows the run, so it need not give back
+GAPS = f"[^{ascii_lowercase}{digits}]++"
 
 
 def strip(c: Column) -> Column:
@@ -41,10 +47,10 @@ def clean(c: Column, single_pass: bool = False) -> Column:
     other; the two differ only where removing one token creates another.
     """
     out = F.lower(F.coalesce(c, F.lit("")))
-    for pattern in [f"{URL}|{MENTION}|{HASHTAG}"] if single_pass else [URL, MENTION, HASHTAG]:
+    for pattern in [TAGS] if single_pass else [URL, MENTION, HASHTAG]:
         out = F.regexp_replace(out, pattern, "")
     # one run of anything outside [a-z0-9] is one space, so no separate collapsing pass is needed
-    return F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(out, GAPS, " "))
 
 
 def clean_keep_punctuation(c: Column) -> Column:
@@ -104,7 +110,7 @@ def with_bigrams(terms: Column) -> Column:
 
 def content_words(c: Column, stop_words: Sequence[str]) -> Column:
     """Distinct lower-case words outside the stop list; ``[]`` for NULL."""
-    words = F.split(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", " "), " ")
+    words = F.split(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), GAPS, " "), " ")
     return F.array_except(words, F.array(*[F.lit(w) for w in ["", *stop_words]]))
 
 

@@ -43,9 +43,11 @@ def classify(
     points: str = "best_score",
     boundary: bool = False,
     single_pass: bool = False,
+    cleaned: Column | None = None,
 ) -> DataFrame:
-    """Add the best class of the cleaned text and its score; a projection, no shuffle."""
-    scored = df.withColumn("_clean", T.clean(text, single_pass))
+    """Add the best class of the cleaned text and its score; a projection, no shuffle. ``cleaned`` is
+    the text where several classifications share its cleaning."""
+    scored = df.withColumn("_clean", T.clean(text, single_pass) if cleaned is None else cleaned)
     scored, scores = class_scores(scored, F.col("_clean"), classes, boundary)
     best = evaluate_once(scored, _best=K.pick_class(scores, fallback))
     return best.select(

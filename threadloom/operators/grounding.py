@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from threadloom import presets
 from threadloom.functions import text as T
+from threadloom.operators.binding import evaluate_once
 
 
 def joined_replies(hits: Column, separator: str = " ") -> Column:
@@ -28,15 +29,11 @@ def groundedness(
     row; there is no shuffle.
     """
     usable = rows.where((F.length(draft) > 0) & (F.length(references) > 0))
-    worded = usable.withColumn("_draft", T.content_words(draft, stop_words)).withColumn(
-        "_known", T.content_words(references, stop_words)
-    )
-    share = F.size(F.array_intersect("_draft", "_known")) / F.size("_draft")
-    return (
-        worded.where(F.size("_draft") > 0)
-        .withColumn("groundedness", share)
-        .drop("_draft", "_known")
-    )
+    # bound, as the filter would work the words out a second time
+    worded = evaluate_once(usable, _draft=T.content_words(draft, stop_words))
+    known = T.content_words(references, stop_words)
+    share = F.size(F.array_intersect(F.col("_draft"), known)) / F.size("_draft")
+    return worded.where(F.size("_draft") > 0).withColumn("groundedness", share).drop("_draft")
 
 
 def mean_groundedness(scored: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from threadloom.operators import evaluation as E
 from threadloom.operators import grounding as G
 from threadloom.operators import threads as H
 from threadloom.operators import validation as V
+from threadloom.operators.binding import evaluate_once
 from threadloom.operators.classes import classify, predict_majority
 from threadloom.operators.ranking import top_n_per_group
 from threadloom.operators.sampling import shuffle_order
@@ -25,9 +26,13 @@ from workload import policy_queries as PQ
 
 def _rows(spark, sf):
     """Gold class by the long word table, prediction by the short one; decisions likewise."""
-    gold = classify(W.documents(spark, sf), F.col("text"), W.CLASSES, label="gold_intent")
+    once = evaluate_once(W.documents(spark, sf), cleaned=T.clean(F.col("text")))
+    gold = classify(
+        once, F.col("text"), W.CLASSES, label="gold_intent", cleaned=F.col("cleaned")
+    )
     both = classify(
-        gold, F.col("text"), W.CLASSES_SHORT, "ORDER_DELIVERY_STATUS", "pred_intent", "_points"
+        gold, F.col("text"), W.CLASSES_SHORT, "ORDER_DELIVERY_STATUS", "pred_intent", "_points",
+        cleaned=F.col("cleaned"),
     )
     labels = W.table(spark, sf, "labels")
     decided = both.join(labels, "doc_id", "left").withColumn(
