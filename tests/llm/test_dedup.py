@@ -210,3 +210,31 @@ def test_shingles_are_taken_from_small_runs_of_texts(monkeypatch):
     sets = list(near_dup._sets([pa.RecordBatch.from_arrays([texts, ids], names=["text", "id"])], 4))
     assert sum(b.num_rows for b in rows) == sum(b.num_rows for b in sets) == 400
     assert sum(sizes) == 2 * 400 * len(text) and max(sizes) <= 1 << 18
+
+
+def test_word_hashes_take_little_memory_and_do_not_depend_on_pieces(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from threadloom.llm import words as W
+
+    texts = [" ".join(f"word{i * 7 % 9973}" for i in range(k, k + 3000)) for k in range(0, 240_000, 3000)]
+    texts += ["x" * 600_000 + " Y", "", None, "a" * 40 + "\t" + "b" * 41]
+    words = W.Words(W.texts_of(pa.array(texts)))
+    words.hashes(lower=True)  # tables of powers are made once
+    tracemalloc.start()
+    try:
+        whole = words.hashes(lower=True)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        data, offsets = words.joined(np.ones(len(words), bool))
+        joined = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    size = len(words.texts.data)
+    assert size > 2_500_000 and most < 10 * size and joined < 14 * size
+    assert bytes(data[offsets[0] : offsets[1]]).decode() == texts[0]
+    monkeypatch.setattr(W, "HASH_BYTES", 64)
+    monkeypatch.setattr(W, "_powers", {})
+    assert np.array_equal(words.hashes(lower=True), whole)
