@@ -232,3 +232,21 @@ def test_retrieval_agent(spark, taxonomy):
     alone = TR.retrieval_agent(questions, corpus.where("idx = 1"), CLASSES, taxonomy)
     drafts = {r.message_id: r.draft_reply for r in alone.collect()}
     assert drafts[1] == "Please contact us for assistance with your request."
+
+
+def test_retrieval_agent_searches_for_wanted_questions_only(spark, taxonomy, monkeypatch):
+    corpus = spark.createDataFrame(
+        [(1, "lost", "we found it", [1.0, 0.0]), (2, "refund", "money is back", [0.0, 1.0])],
+        "idx long, customer_text string, reply_text string, vec array<float>",
+    )
+    questions = spark.createDataFrame(
+        [(1, "it is lost", [1.0, 0.1]), (7, "a refund", [0.1, 1.0]), (7, "lost", None), (None, "x", [1.0, 1.0])],
+        "message_id long, input_text string, vec array<float>",
+    )
+    wanted = spark.createDataFrame([("7",), ("9",), ("7",), (None,)], "message_id string")
+    asked, search = [], TR.top_k
+    monkeypatch.setattr(TR, "top_k", lambda c, q, *a: asked.append(q.count()) or search(c, q, *a))
+    every = TR.retrieval_agent(questions, corpus, CLASSES, taxonomy, k=1)
+    some = TR.retrieval_agent(questions, corpus, CLASSES, taxonomy, k=1, wanted=wanted)
+    assert asked == [4, 2]
+    assert sorted(map(str, some.collect())) == sorted(map(str, every.where("message_id = 7").collect()))

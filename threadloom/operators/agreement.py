@@ -184,12 +184,17 @@ def disagreements(scores: DataFrame, results: DataFrame | None = None) -> DataFr
     )
 
 
+def sheet_messages(judge: DataFrame, n: int = 20) -> DataFrame:
+    """``message_id`` of the first ``n`` valid judgements: the rows of :func:`blind_sheet`."""
+    return valid_judgements(judge).select("message_id").orderBy("message_id").limit(n)
+
+
 def blind_sheet(judge: DataFrame, results: DataFrame, n: int = 20, seed: int = 42) -> DataFrame:
     """The first ``n`` valid judgements in random order, with blank score columns.
 
     The n ids go to the results by broadcast; the large table is only filtered.
     """
-    first = valid_judgements(judge).select("message_id").orderBy("message_id").limit(n)
+    first = sheet_messages(judge, n)
     details = results.join(F.broadcast(first), "message_id", "left_semi").select(
         "message_id",
         F.col("input_text").alias("customer_message"),

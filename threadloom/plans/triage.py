@@ -127,8 +127,18 @@ def retrieval_agent(
     exclude_self: bool = True,
     fallback: str = presets.DEFAULT_CLASS,
     triggers: Sequence[str] = presets.ESCALATION_TRIGGERS_SIMPLE,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
-    """Triage every question and draft its reply from the most similar past thread."""
+    """Triage every question and draft its reply from the most similar past thread.
+
+    A question's row depends on that question and the corpus alone. So where a report shows a few rows,
+    ``wanted`` (one column ``message_id``, few rows, compared as text) selects the questions before they
+    are searched for; a filter on the result would not get past the search.
+    """
+    if wanted is not None:
+        ids = wanted.select(F.col("message_id").cast("string").alias("_wanted"))
+        named = F.col("message_id").cast("string") == F.col("_wanted")
+        questions = questions.join(F.broadcast(ids), named, "left_semi")
     answered = draft_from_hits(questions, corpus, k, exclude_self)
     return triage(answered, classes, taxonomy, "input_text", fallback, triggers).withColumn(
         "agent_type", F.lit("retrieval_only_baseline")
