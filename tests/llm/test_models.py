@@ -139,3 +139,60 @@ def test_empty_and_untrained(spark):
     only = spark.createDataFrame([(held, "a b")], "doc_id long, text string")
     row = suffix_tree.score_texts(only).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"], row["score"]) == (3, 0, 0, 0.0, 0.0)
+
+
+def full_tree_scores(rows, gain):
+    """Scores of (text, train) rows by the definition: every context of every length, in Python."""
+    texts = [[*tokens(text), None] for text, _ in rows]
+    train = [t for t, (_, use) in zip(texts, rows) if use]
+    counts = collections.Counter(s for t in train for s in t)
+    n, v = sum(counts.values()), len(counts)
+    follow = collections.defaultdict(collections.Counter)
+    for t in train:
+        for i, s in enumerate(t):
+            for d in range(1, i + 1):
+                follow[tuple(t[i - d : i])][s] += 1
+    nodes = set()
+
+    def p(symbol, context):
+        while context and context not in nodes:
+            context = context[1:]
+        if not context:
+            return (counts[symbol] + 1) / (n + v + 1)
+        total = sum(follow[context].values())
+        return (follow[context][symbol] + suffix_tree.SMOOTH * p(symbol, context[1:])) / (total + suffix_tree.SMOOTH)
+
+    for context in sorted(follow, key=len):
+        total, seen = sum(follow[context].values()), follow[context]
+        before = {s: p(s, context[1:]) for s in seen}
+        here = {s: (seen[s] + suffix_tree.SMOOTH * before[s]) / (total + suffix_tree.SMOOTH) for s in seen}
+        rest = suffix_tree.SMOOTH / (total + suffix_tree.SMOOTH)
+        divergence = sum(here[s] * math.log(here[s] / before[s]) for s in seen) + rest * (1 - sum(before.values())) * math.log(rest)
+        if total * divergence >= gain:
+            nodes.add(context)
+    return [sum(math.log10(p(s, tuple(t[:i]))) for i, s in enumerate(t)) for t in texts], nodes
+
+
+@pytest.mark.parametrize("levels, heavy", [((3, 8, 32), 40), ((1, 2), 1 << 19), ((2, 1), 5)])
+def test_all_contexts_that_diverge_are_nodes(spark, monkeypatch, levels, heavy):
+    """Contexts of a few occurrences, words that are rare, and nodes of more than two words: as many
+    texts as make any share of the tokens small."""
+    monkeypatch.setattr(suffix_tree, "LEVELS", levels)
+    monkeypatch.setattr(suffix_tree, "CHUNK", 2000)
+    monkeypatch.setattr(suffix_tree, "HEAVY", heavy)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 40)))) for i in range(300)]
+    # what follows the rare word is known by the word; what follows a b c d by the word five before
+    rows += [(i, " ".join([*rng.choices(words, k=3), "rare", f"after{i % 2}"])) for i in range(300, 320)]
+    for i in range(320, 560):
+        lead = rng.choice("xy")
+        rows.append((i, f"{rng.choice(words)} {lead} a b c d {lead}{lead} {rng.choice(words)}"))
+    rows += [(900, None), (901, ""), (902, "never seen rare after0"), (903, "q x a b c d xx")]
+    want, nodes = full_tree_scores([(text, crc(i, 7) != 2) for i, text in rows], 15.0)
+    assert max(map(len, nodes)) >= 5 and (b"rare",) in nodes
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(docs, gain=15.0).collect()}
+    assert len(got) == len(rows)
+    for (i, _), score in zip(rows, want):
+        assert abs(got[i] - score) <= 1e-9 * max(1, abs(score)), i
